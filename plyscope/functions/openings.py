@@ -49,4 +49,5 @@ def book_deviation(eco: Column, name: Column) -> Column:
     )
     number = F.when(F.length(eco) >= 3, F.substring(eco, 2, 1_000_000).try_cast("bigint"))
     depth = F.floor(number / 20)
-    return F.coalesce(F.least(F.lit(DEEPEST_BOOK), named + depth), named).cast("int")
+    deepened = F.least(F.lit(DEEPEST_BOOK), named + F.coalesce(depth, F.lit(0)))
+    return deepened.cast("int")

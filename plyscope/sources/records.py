@@ -16,7 +16,6 @@ SEPARATOR = "\n\n[Event "
 CLOCK = r"\[%clk\s+(\d+:\d{1,2}:\d{1,2}(?:\.\d+)?)\]"
 COMMENT = r"\{[^}]*\}"
 VARIATION = r"\([^()]*\)"
-MOVE_NUMBER = r"^\d+\.+$"
 NUMBER_PREFIX = r"^\d+\.+"
 ENDINGS = ("1-0", "0-1", "1/2-1/2", "*")
 
@@ -54,8 +53,11 @@ def every_second(values: Column, start: int) -> Column:
     return F.filter(values, lambda _, i: i % 2 == start)
 
 
-def parse_records(records: DataFrame) -> DataFrame:
-    """Full games from record texts; column names follow the full-game schema."""
+def parse_records(records: DataFrame, extra_tags=()) -> DataFrame:
+    """Full games from record texts; column names follow the full-game schema.
+
+    ``extra_tags`` adds further header tags as lower-case columns.
+    """
     df = records.withColumn("_moves", move_text())
     df = df.withColumns(
         {
@@ -72,6 +74,7 @@ def parse_records(records: DataFrame) -> DataFrame:
     kept = [c for c in records.columns if c != "value"]
     return df.select(
         *kept,
+        *[tag(name).alias(name.lower()) for name in extra_tags],
         tag("White").alias("white_player"),
         tag("Black").alias("black_player"),
         "white_elo",

@@ -19,13 +19,13 @@ def without_nan(df: DataFrame) -> DataFrame:
 
 
 def read_games(spark: SparkSession, folder: str, pattern: str = GAME_CHUNKS, schema=GAMES) -> DataFrame:
-    """All game chunks of a folder as one table."""
-    return spark.read.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+    """All game chunks of a folder, files or directories, as one table."""
+    return spark.read.schema(schema).parquet(f"{folder}/{pattern}")
 
 
 def read_full_games(spark: SparkSession, folder: str, pattern: str = FULL_CHUNKS, schema=GAMES_FULL) -> DataFrame:
     """All full-game chunks with moves and clocks; unused arrays are not read."""
-    return spark.read.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+    return spark.read.schema(schema).parquet(f"{folder}/{pattern}")
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
