@@ -342,7 +342,7 @@ def _(spark, sf):
     i="bin players",
 )
 def _(spark, sf):
-    return reports.rating_histogram(ops.dashboard_profiles(tables.players(spark, sf)))
+    return reports.rating_histogram(ops.dashboard_profiles(tables.stored_players(spark, sf)))
 
 
 @query(

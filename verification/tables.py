@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plyscope.operators.games import game_features
 from plyscope.operators.players import player_profiles
+from plyscope.session import scratch_path
 from plyscope.sources import tpch_view
 
 
@@ -31,10 +32,21 @@ def players(spark: SparkSession, sf: str, **options) -> DataFrame:
     return player_profiles(features(spark, sf), **options)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The table written once and read back, for queries that read it several times."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def stored_players(spark: SparkSession, sf: str, **options) -> DataFrame:
+    return stored(players(spark, sf, **options), "players")
+
+
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
     """Player profiles with a given cluster label, −1 for noise."""
     number = F.substring("player", 2, 12).cast("bigint")
-    return players(spark, sf).withColumn("cluster", number % 4 - 1)
+    return stored_players(spark, sf).withColumn("cluster", number % 4 - 1)
 
 
 def points(spark: SparkSession, sf: str) -> DataFrame:
