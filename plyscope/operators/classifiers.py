@@ -13,11 +13,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from plyscope.operators.metrics import confusion_counts, confusion_matrix, full_report, score_row
+from plyscope.operators.metrics import confusion_matrix, full_report, scores_of_counts
 from plyscope.operators.oversample import oversample
 from plyscope.operators.scaling import fit_scaler
-from plyscope.operators.split import class_distribution, stratified_split, with_class_weight, with_label_code
+from plyscope.operators.split import stratified_split, with_class_weight, with_label_code
 from plyscope.schema import SEED
+from plyscope.session import cut_lineage
 
 FOREST, BOOSTED, ENSEMBLE = "random_forest", "boosted_trees", "ensemble_soft"
 KINDS = (FOREST, BOOSTED, ENSEMBLE)
@@ -215,13 +216,14 @@ def train_classifier(
     split = stratified_split(table.select(key, label, *columns), label, key).persist()
     labels = sorted(r[0] for r in split.select(label).distinct().collect())
     model = fit_model(split.where("fold = 'train'"), columns, labels, kind, label, key, **fit_options)
-    scored = model.predict(split.where("fold <> 'train'")).select(
-        key, "fold", F.col(label).alias("actual"), "predicted"
+    scored = model.predict(split.where("fold <> 'train'"))
+    # One scoring pass; what is kept has at most 2 x classes² rows.
+    tallies = cut_lineage(
+        scored.groupBy("fold", F.col(label).alias("actual"), "predicted").agg(F.count(F.lit(1)).alias("n"))
     )
-    test = scored.where("fold = 'test'")
-    counts = confusion_counts(test)
-    scores = score_row(test)
-    val = score_row(scored.where("fold = 'val'"))
+    counts = tallies.where("fold = 'test'").drop("fold")
+    val = scores_of_counts(tallies.where("fold = 'val'").drop("fold"))
+    scores = scores_of_counts(counts)
     scores = scores.select(
         F.lit(kind).alias("model_type"),
         val.select("accuracy").scalar().alias("val_accuracy"),
@@ -232,13 +234,15 @@ def train_classifier(
         "macro_recall",
         "macro_f1",
     )
+    folds = cut_lineage(split.groupBy("fold", label).agg(F.count(F.lit(1)).alias("rows")))
+    split.unpersist()
     return TrainingResult(
         model,
         scores,
         confusion_matrix(counts, labels),
         full_report(counts),
-        class_distribution(table, label),
-        split.groupBy("fold").agg(F.count(F.lit(1)).alias("rows")),
+        folds.groupBy(label).agg(F.sum("rows").alias("count")),
+        folds.groupBy("fold").agg(F.sum("rows").alias("rows")),
     )
 
 

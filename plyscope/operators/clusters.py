@@ -11,9 +11,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plyscope.operators.density import NOISE, density_clusters
-from plyscope.operators.indices import all_indices, inertia
+from plyscope.operators.indices import all_indices, inertia, silhouette, silhouette_squared
 from plyscope.operators.scaling import fit_scaler, without_outliers
 from plyscope.schema import K_RANGE, SEED
+from plyscope.session import cut_lineage
 
 METHODS = ("kmeans", "hierarchical", "dbscan", "gmm", "birch")
 RESTARTS = 10
@@ -152,7 +153,8 @@ def sweep_k(
     """Inertia and indices for each k, both ends of the range included."""
     rows = None
     for k in range(k_range[0], k_range[1] + 1):
-        labelled = cluster(points, "kmeans", k, coords, seed=seed, restarts=restarts).labelled
+        result = cluster(points, "kmeans", k, coords, seed=seed, restarts=restarts)
+        labelled = cut_lineage(result.labelled.select(*coords, "cluster"))
         one = all_indices(labelled, coords, squared=squared).select(
             F.lit(k).alias("k"), inertia(labelled, coords).scalar().alias("inertia"), "*"
         )
@@ -180,6 +182,7 @@ def compare_methods(
     for position, method in enumerate(methods):
         try:
             result = cluster(points, method, k, coords, **options)
+            result.labelled = cut_lineage(result.labelled.select(*coords, "cluster"))
         except Exception as error:  # noqa: BLE001 - a failed fit must not end the comparison
             print(f"left out {method}: {error}")
             continue
@@ -218,8 +221,11 @@ def silhouette_grid(
         for method in methods:
             for k in ks:
                 labelled = cluster(points, method, k, coords, **options).labelled
-                one = all_indices(labelled, coords, squared=squared).select(
-                    F.lit(space).alias("space"), F.lit(method).alias("method"), F.lit(k).alias("k"), "silhouette_score"
+                labelled = cut_lineage(labelled.select(*coords, "cluster"))
+                score = (silhouette_squared if squared else silhouette)(labelled, coords)
+                one = score.select(
+                    F.lit(space).alias("space"), F.lit(method).alias("method"), F.lit(k).alias("k"),
+                    F.col(score.columns[0]).alias("silhouette_score"),
                 )
                 rows = one if rows is None else rows.unionByName(one)
     return rows

@@ -224,7 +224,9 @@ def density_clusters(
     found = core_labels.select("x", "y", "cluster", F.lit(True).alias("core")).unionByName(
         border.select("x", "y", "cluster", F.lit(False).alias("core"))
     )
-    keyed = points.withColumns({"_x": F.col(x).cast("double"), "_y": F.col(y).cast("double")})
+    keyed = points.drop("cluster", "core").withColumns(
+        {"_x": F.col(x).cast("double"), "_y": F.col(y).cast("double")}
+    )
     found = found.withColumnsRenamed({"x": "_x", "y": "_y"})
     return keyed.join(found, ["_x", "_y"], "left").withColumns(
         {

@@ -131,9 +131,8 @@ def majority_baseline(df: DataFrame, label: str = "actual") -> DataFrame:
     return counts.agg((F.max("n") / F.sum("n")).alias("baseline_accuracy"))
 
 
-def score_row(df: DataFrame, actual="actual", predicted="predicted", tiers: dict = TIERS) -> DataFrame:
-    """One row with every headline score, from a single pass over the predictions."""
-    counts = confusion_counts(df, actual, predicted)
+def scores_of_counts(counts: DataFrame, tiers: dict = TIERS) -> DataFrame:
+    """One row with every headline score, from confusion counts."""
     a, p = F.col("actual"), F.col("predicted")
 
     def within(code):
@@ -150,3 +149,8 @@ def score_row(df: DataFrame, actual="actual", predicted="predicted", tiers: dict
     return overall.withColumns(
         {c: macro.select(c).scalar() for c in ("macro_precision", "macro_recall", "macro_f1")}
     )
+
+
+def score_row(df: DataFrame, actual="actual", predicted="predicted", tiers: dict = TIERS) -> DataFrame:
+    """The headline scores of a table of predictions."""
+    return scores_of_counts(confusion_counts(df, actual, predicted), tiers)

@@ -153,7 +153,7 @@ def _(spark, sf):
             firsts AS (SELECT s AS vec_id, min(t) AS first FROM reach GROUP BY s),
             numbers AS (SELECT first, row_number() OVER (ORDER BY md5(CAST(first AS VARCHAR))) - 1 AS cluster FROM (SELECT DISTINCT first FROM firsts)),
             core_labels AS (SELECT vec_id, cluster FROM firsts JOIN numbers USING (first)),
-            edge_labels AS (SELECT b.vec_id, min(cluster) AS cluster FROM core a JOIN core_labels USING (vec_id) JOIN points b ON {_NEAR}
+            edge_labels AS (SELECT b.vec_id, min(n.cluster) AS cluster FROM core a JOIN core_labels n ON n.vec_id = a.vec_id JOIN points b ON {_NEAR}
               WHERE b.vec_id NOT IN (SELECT vec_id FROM core) GROUP BY b.vec_id)
             """,
             "",
