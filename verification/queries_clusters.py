@@ -231,7 +231,7 @@ def _(spark, sf):
     i="points",
 )
 def _(spark, sf):
-    one = points(spark, sf).withColumn("cluster", F.lit(0))
+    one = points(spark, sf).withColumn("cluster", F.col("cluster") * 0)
     return indices.all_indices(one, XY).withColumn("points", one.agg(F.count(F.lit(1))).scalar())
 
 
