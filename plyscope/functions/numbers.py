@@ -9,17 +9,6 @@ def array_total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
 
 
-def array_mean(values: Column) -> Column:
-    """Mean of a null-free array; NULL when it is empty."""
-    return F.when(F.size(values) > 0, array_total(values) / F.size(values))
-
-
-def array_var_pop(values: Column, mean: Column) -> Column:
-    """Population variance around a given mean; NULL below two values."""
-    squares = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean))
-    return F.when(F.size(values) > 1, squares / F.size(values))
-
-
 def count_where(values: Column, predicate) -> Column:
     return F.size(F.filter(values, predicate))
 

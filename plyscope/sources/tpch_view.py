@@ -8,9 +8,9 @@ lines is numbered per ship date so that no task sorts it whole.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from plyscope.functions.tiers import tier_of
+from plyscope.operators.players import with_game_tiers
 
 PLIES_PER_GAME = 40
 GAME_STRIDE = 1_000_000_000
@@ -58,125 +58,106 @@ def plies(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_ROWS) -> DataFra
     """One row per ply with its clock reading, move string, evaluation and board counts."""
     lines = numbered_lines(table(spark, sf_dir, "lineitem"), hot_rows)
     players = table(spark, sf_dir, "supplier").select(F.count(F.lit(1)).alias("n"))
-    q, ln = F.col("l_quantity").cast("bigint"), F.col("l_linenumber").cast("bigint")
-    base = F.element_at(F.array(*[F.lit(b) for b in (60, 180, 300, 600, 900)]), (F.col("g") % 5 + 1).cast("int"))
-    cast = lines.select(
-        F.col("l_suppkey").alias("w"),
-        F.floor(F.col("rn") / PLIES_PER_GAME).alias("g"),
-        (F.col("rn") % PLIES_PER_GAME).cast("int").alias("ply"),
-        q.alias("q"),
-        ln.alias("ln"),
-        F.floor("l_extendedprice").alias("price"),
-        (F.col("l_tax") > 0.075).alias("hidden"),
-        F.col("l_returnflag").alias("flag"),
-        F.col("l_linestatus").alias("status"),
-    )
-    rows = cast.withColumn("base_time", base).select(
-        (F.col("w") * GAME_STRIDE + F.col("g")).alias("game_id"),
-        "w",
-        "g",
-        "ply",
-        ((F.col("w") * 7 + F.col("g") * 13 + 1) % players.scalar()).alias("b"),
-        "base_time",
-        (
-            F.floor(F.col("q") * F.col("base_time") / 6)
-            - F.when(F.col("ply") % 8 < 2, 300).otherwise(0)
-        ).alias("cost"),
-        "hidden",
-        san_text().alias("san"),
-        (F.col("price") % 600 - 300).alias("eval_cp"),
-        (39 - F.col("q") % 4).alias("white_material"),
-        (39 - F.col("ln") % 4).alias("black_material"),
-        (10 + F.col("q") % 35).alias("n_legal_moves"),
-    )
-    return rows.withColumn("clock", clock_reading()).drop("cost", "hidden")
-
-
-def san_text() -> Column:
-    q, ln = F.col("q"), F.col("ln")
-    return F.concat(
-        F.element_at(F.array(*[F.lit(p) for p in ("", "N", "B", "R", "Q")]), (ln % 5 + 1).cast("int")),
-        F.when(F.col("flag") == "A", "x").otherwise(""),
-        F.char(97 + q % 8),
-        (1 + ln % 8).cast("string"),
-        F.when((ln % 5 == 0) & (q % 11 == 0), "=Q").otherwise(""),
-        F.when(q == 50, "#").when((F.col("status") == "F") & (q % 5 == 0), "+").otherwise(""),
+    shaped = lines.selectExpr(
+        "l_suppkey AS w",
+        f"rn DIV {PLIES_PER_GAME} AS g",
+        f"int(rn % {PLIES_PER_GAME}) AS ply",
+        "bigint(l_quantity) AS q",
+        "bigint(l_linenumber) AS ln",
+        "floor(l_extendedprice) AS price",
+        "l_tax > 0.075D AS hidden",
+        "l_returnflag AS flag",
+        "l_linestatus AS status",
+    ).selectExpr("*", "element_at(array(60, 180, 300, 600, 900), int(g % 5 + 1)) AS base_time")
+    rows = shaped.select(
+        *[
+            F.expr(text)
+            for text in (
+                f"w * {GAME_STRIDE} + g AS game_id",
+                "w",
+                "g",
+                "ply",
+                "base_time",
+                "q * base_time DIV 6 - if(ply % 8 < 2, 300, 0) AS cost",
+                "hidden",
+                SAN + " AS san",
+                "price % 600 - 300 AS eval_cp",
+                "39 - q % 4 AS white_material",
+                "39 - ln % 4 AS black_material",
+                "10 + q % 35 AS n_legal_moves",
+            )
+        ],
+        (F.expr("w * 7 + g * 13 + 1") % players.scalar()).alias("b"),
     )
+    return rows.withColumn("clock", F.expr(CLOCK)).drop("cost", "hidden")
+
 
+SAN = """concat(
+    element_at(array('', 'N', 'B', 'R', 'Q'), int(ln % 5 + 1)),
+    if(flag = 'A', 'x', ''), char(97 + q % 8), string(1 + ln % 8),
+    if(ln % 5 = 0 AND q % 11 = 0, '=Q', ''),
+    CASE WHEN q = 50 THEN '#' WHEN status = 'F' AND q % 5 = 0 THEN '+' ELSE '' END)"""
 
-def clock_reading() -> Column:
-    """Seconds left, from the running cost of this colour's moves in the game.
+# Seconds left, from the running cost of this colour's moves in the game. Partitioned by
+# the game alone (the other colour's cost counts as zero), so that the grouping into games
+# needs no further shuffle.
+_so_far = "OVER (PARTITION BY game_id ORDER BY ply ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+CLOCK = f"""if(hidden, NULL, greatest(0, base_time * 100 - if(ply % 2 = 0,
+    sum(if(ply % 2 = 0, cost, 0)) {_so_far}, sum(if(ply % 2 = 1, cost, 0)) {_so_far})) / 100D)"""
 
-    Partitioned by the game alone (the other colour's cost counts as zero), so that the
-    grouping into games needs no further shuffle.
-    """
-    so_far = Window.partitionBy("game_id").orderBy("ply").rowsBetween(Window.unboundedPreceding, 0)
-    used = F.when(
-        F.col("ply") % 2 == 0, F.sum(F.when(F.col("ply") % 2 == 0, F.col("cost"))).over(so_far)
-    ).otherwise(F.sum(F.when(F.col("ply") % 2 == 1, F.col("cost"))).over(so_far))
-    left = F.greatest(F.lit(0), F.col("base_time") * 100 - used)
-    return F.when(~F.col("hidden"), left / 100.0)
 
+def in_ply_order(value: str, side: int | None = None) -> str:
+    """A game's values as an array, all plies or one colour's."""
+    entry = f"struct(ply, {value} AS v)"
+    listed = entry if side is None else f"if(ply % 2 = {side}, {entry}, NULL)"
+    return f"transform(array_sort(collect_list({listed})), e -> e.v)"
 
-def in_ply_order(value: Column, keep: Column | None = None) -> Column:
-    entry = F.struct("ply", value.alias("v"))
-    listed = F.collect_list(entry if keep is None else F.when(keep, entry))
-    return F.transform(F.sort_array(listed), lambda e: e["v"])
+
+def _rating(player: str) -> str:
+    return f"int(700 + ({player} * 371) % 1600 + (g * 11) % 120)"
 
 
 def games_full(plies_df: DataFrame) -> DataFrame:
     """One row per game with move list, clock arrays and evaluations."""
-    white = F.col("ply") % 2 == 0
     grouped = plies_df.groupBy("game_id").agg(
-        F.first("w").alias("w"),
-        F.first("g").alias("g"),
-        F.first("b").alias("b"),
-        F.first("base_time").alias("base_time"),
-        F.count(F.lit(1)).cast("int").alias("num_moves"),
-        F.transform(in_ply_order(F.col("san")), lambda s: F.struct(s.alias("move_san"))).alias("moves"),
-        in_ply_order(F.col("clock"), white).alias("clock_times_white"),
-        in_ply_order(F.col("clock"), ~white).alias("clock_times_black"),
-        in_ply_order(F.col("eval_cp").cast("double")).alias("evaluations"),
+        *[
+            F.expr(text)
+            for text in (
+                "first(w) AS w",
+                "first(g) AS g",
+                "first(b) AS b",
+                "first(base_time) AS base_time",
+                "int(count(*)) AS num_moves",
+                f"transform({in_ply_order('san')}, s -> struct(s AS move_san)) AS moves",
+                f"{in_ply_order('clock', 0)} AS clock_times_white",
+                f"{in_ply_order('clock', 1)} AS clock_times_black",
+                f"{in_ply_order('double(eval_cp)')} AS evaluations",
+            )
+        ]
     )
-    w, b, g = F.col("w"), F.col("b"), F.col("g")
-    outcome = (w + g) % 10
-    letter = F.char(65 + (w + g) % 5)
-
-    def player(i):
-        return F.concat(F.lit("p"), F.lpad(i.cast("string"), 12, "0"))
-
-    def rating(i):
-        return (700 + (i * 371) % 1600 + (g * 11) % 120).cast("int")
-
-    return grouped.select(
+    letter = "char(65 + (w + g) % 5)"
+    described = grouped.selectExpr(
         "game_id",
-        player(w).alias("white_player"),
-        player(b).alias("black_player"),
-        rating(w).alias("white_elo"),
-        rating(b).alias("black_elo"),
-        tier_of(rating(w)).alias("white_skill_tier"),
-        tier_of(rating(b)).alias("black_skill_tier"),
-        F.when(outcome < 5, "1-0").when(outcome < 6, "1/2-1/2").otherwise("0-1").alias("result"),
-        F.concat(F.col("base_time").cast("string"), F.when(g % 2 == 0, "+0").otherwise("+3")).alias("time_control"),
-        F.when(F.col("base_time") == 60, "bullet")
-        .when(F.col("base_time") < 600, "blitz")
-        .otherwise("rapid")
-        .alias("time_control_category"),
+        "concat('p', lpad(string(w), 12, '0')) AS white_player",
+        "concat('p', lpad(string(b), 12, '0')) AS black_player",
+        f"{_rating('w')} AS white_elo",
+        f"{_rating('b')} AS black_elo",
+        "CASE WHEN (w + g) % 10 < 5 THEN '1-0' WHEN (w + g) % 10 < 6 THEN '1/2-1/2' ELSE '0-1' END AS result",
+        "concat(string(base_time), if(g % 2 = 0, '+0', '+3')) AS time_control",
+        "CASE WHEN base_time = 60 THEN 'bullet' WHEN base_time < 600 THEN 'blitz' ELSE 'rapid' END"
+        " AS time_control_category",
         "base_time",
         "num_moves",
-        F.when(g % 11 == 0, "")
-        .when(g % 11 == 1, letter)
-        .when(g % 11 == 2, F.concat(letter, F.lit("x1")))
-        .otherwise(F.concat(letter, F.lpad(((w * 3 + g * 7) % 100).cast("string"), 2, "0")))
-        .alias("opening_eco"),
-        F.when(g % 9 == 0, "")
-        .otherwise(F.concat(F.lit("Open"), F.repeat(F.lit(" line"), (g % 19).cast("int"))))
-        .alias("opening_name"),
+        f"""CASE WHEN g % 11 = 0 THEN '' WHEN g % 11 = 1 THEN {letter}
+              WHEN g % 11 = 2 THEN concat({letter}, 'x1')
+              ELSE concat({letter}, lpad(string((w * 3 + g * 7) % 100), 2, '0')) END AS opening_eco""",
+        "if(g % 9 = 0, '', concat('Open', repeat(' line', int(g % 19)))) AS opening_name",
         "moves",
         "clock_times_white",
         "clock_times_black",
         "evaluations",
     )
+    return with_game_tiers(described)
 
 
 def positions(plies_df: DataFrame) -> DataFrame:

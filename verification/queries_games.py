@@ -351,7 +351,7 @@ def _(spark, sf):
     return df.select(
         "game_id",
         "side",
-        *[F.coalesce(F.size(a), F.lit(0)).alias(f"n_{p}") for p, a in phase_slices(F.col("time_spent")).items()],
+        *[F.expr(f"coalesce(size({a}), 0)").alias(f"n_{p}") for p, a in phase_slices("time_spent").items()],
     )
 
 
