@@ -89,6 +89,16 @@ class TierModel:
             members.append("_p_boosted")
         return soft_vote(df, members, self.labels).select(*keep, "probability", "predicted")
 
+    def restricted(self, kind: str) -> TierModel:
+        """The same fitted members, as a model of one kind."""
+        return TierModel(
+            kind,
+            self.labels,
+            self.columns,
+            self.forest if kind != BOOSTED else None,
+            self.boosted if kind != FOREST else None,
+        )
+
     def importances(self, spark: SparkSession) -> DataFrame:
         """Feature importance, averaged over members, largest first."""
         members = []
@@ -158,7 +168,7 @@ def fit_model(
     scaled = [f"z_{c}" for c in columns]
     rows = scaler.transform(train, "z_").select(F.col(key).cast("string").alias(key), label, *scaled)
     if balance == "oversample":
-        rows = oversample(rows, scaled, label, key, seed=seed)
+        rows = cut_lineage(oversample(rows, scaled, label, key, seed=seed))
     rows = with_label_code(with_class_weight(rows, label), labels, label, "_code")
     assembler = VectorAssembler(inputCols=scaled, outputCol="_features")
     prepared = assembler.transform(rows).select(
@@ -204,28 +214,19 @@ class TrainingResult:
     sizes: DataFrame
 
 
-def train_classifier(
-    table: DataFrame,
-    columns: list[str],
-    kind: str = FOREST,
-    label: str = "skill_tier",
-    key: str = "player",
-    **fit_options,
-) -> TrainingResult:
-    """Split, fit and score. The label list is one row per class."""
-    split = stratified_split(table.select(key, label, *columns), label, key).persist()
-    labels = sorted(r[0] for r in split.select(label).distinct().collect())
-    model = fit_model(split.where("fold = 'train'"), columns, labels, kind, label, key, **fit_options)
+def evaluate(model: TierModel, split: DataFrame, label: str = "skill_tier") -> TrainingResult:
+    """Scores of a fitted model on the val and test folds.
+
+    One scoring pass; what is kept of it has at most 2 x classes² rows.
+    """
     scored = model.predict(split.where("fold <> 'train'"))
-    # One scoring pass; what is kept has at most 2 x classes² rows.
     tallies = cut_lineage(
         scored.groupBy("fold", F.col(label).alias("actual"), "predicted").agg(F.count(F.lit(1)).alias("n"))
     )
     counts = tallies.where("fold = 'test'").drop("fold")
     val = scores_of_counts(tallies.where("fold = 'val'").drop("fold"))
-    scores = scores_of_counts(counts)
-    scores = scores.select(
-        F.lit(kind).alias("model_type"),
+    scores = scores_of_counts(counts).select(
+        F.lit(model.kind).alias("model_type"),
         val.select("accuracy").scalar().alias("val_accuracy"),
         F.col("accuracy").alias("test_accuracy"),
         "adjacent_accuracy",
@@ -235,22 +236,50 @@ def train_classifier(
         "macro_f1",
     )
     folds = cut_lineage(split.groupBy("fold", label).agg(F.count(F.lit(1)).alias("rows")))
-    split.unpersist()
     return TrainingResult(
         model,
         scores,
-        confusion_matrix(counts, labels),
+        confusion_matrix(counts, model.labels),
         full_report(counts),
         folds.groupBy(label).agg(F.sum("rows").alias("count")),
         folds.groupBy("fold").agg(F.sum("rows").alias("rows")),
     )
 
 
+def train_and_compare(
+    table: DataFrame,
+    columns: list[str],
+    kinds=KINDS,
+    label: str = "skill_tier",
+    key: str = "player",
+    **fit_options,
+) -> dict[str, TrainingResult]:
+    """Split once, fit each base model once, and score every kind asked for.
+
+    The ensemble shares the fitted members of the single models.
+    """
+    unknown = [k for k in kinds if k not in KINDS]
+    if unknown:
+        raise ValueError(f"unknown model kind: {unknown}")
+    split = stratified_split(table.select(key, label, *columns), label, key).persist()
+    labels = sorted(r[0] for r in split.select(label).distinct().collect())  # one row per class
+    fitted = kinds[0] if len(set(kinds)) == 1 else ENSEMBLE
+    model = fit_model(split.where("fold = 'train'"), columns, labels, fitted, label, key, **fit_options)
+    results = {k: evaluate(model.restricted(k), split, label) for k in kinds}
+    split.unpersist()
+    return results
+
+
+def train_classifier(table: DataFrame, columns: list[str], kind: str = FOREST, **options) -> TrainingResult:
+    """Split, fit and score one kind of model."""
+    return train_and_compare(table, columns, (kind,), **options)[kind]
+
+
 def compare_models(table: DataFrame, columns: list[str], kinds=KINDS, **options) -> tuple[DataFrame, dict]:
     """Scores of every kind in one table, in the order given, and the results by kind."""
-    results = {k: train_classifier(table, columns, k, **options) for k in kinds}
+    results = train_and_compare(table, columns, tuple(kinds), **options)
     rows = None
-    for i, (kind, result) in enumerate(results.items()):
+    for i, result in enumerate(results.values()):
         one = result.scores.withColumns({"position": F.lit(i), "features": F.lit(len(columns))})
         rows = one if rows is None else rows.unionByName(one)
     return rows, results

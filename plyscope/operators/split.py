@@ -46,9 +46,15 @@ def class_weights(df: DataFrame, label: str = "skill_tier") -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str = "skill_tier", name: str = "weight") -> DataFrame:
-    """Weights joined on the label; one row per class, so its measured size decides the join."""
-    weights = class_weights(df, label).select(label, F.col("weight").alias(name))
-    return df.join(weights, label)
+    """Append the weight of each row's class.
+
+    The weights, one per class, reach the rows as a single map value: joining on so few
+    keys would move every row of a large class to one place.
+    """
+    entries = class_weights(df, label).agg(
+        F.map_from_entries(F.collect_list(F.struct(label, "weight"))).alias("weights")
+    )
+    return df.withColumn(name, F.try_element_at(entries.scalar(), F.col(label)))
 
 
 def label_codes(df: DataFrame, label: str = "skill_tier") -> DataFrame:
