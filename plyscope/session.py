@@ -29,12 +29,14 @@ def build_session(app: str = "plyscope", master: str | None = None, **conf) -> S
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a new local one only if unset."""
+    """The shared folder named by ``spark.checkpoint.dir``; in local mode a new one if unset."""
     conf = spark.sparkContext.getConf()
     root = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("plyscope.scratch.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="plyscope-")
         spark.conf.set("plyscope.scratch.dir", root)
     return root.rstrip("/")
