@@ -137,7 +137,7 @@ def encode(
     carried = [f.name for f in _fields(df, new)]
     rows = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carried)], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("_text"))
     kept = rows.schema.fields[:-1]
-    out = T.StructType([*kept, T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("_decoded", T.StringType())])
+    out = T.StructType([*kept, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("_decoded", T.StringType())])
 
     def result(batch: pa.RecordBatch, encoded: list[list[int]]) -> pa.RecordBatch:
         coder = codec(vocabulary)
