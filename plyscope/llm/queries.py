@@ -37,6 +37,108 @@ def op1_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op2_warc_salvage(spark: SparkSession, folder: str) -> DataFrame:
+    from plyscope.llm import warc
+
+    read = warc.read_archives(warc.write_archives(table(spark, folder, "pages"))).where("kind = 'record'")
+    own = F.col("payload").isNotNull()
+    return read.select(
+        F.col("record_key").alias("page_id"),
+        F.when(own, F.octet_length("payload").cast("long")).otherwise(F.col("payload_length")).alias("payload_bytes"),
+        F.when(own, F.sha2("payload", 256)).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
+SQL["op2_warc_salvage"] = """
+WITH p AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages
+), f AS (
+    SELECT digest, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY digest
+)
+SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
+    CASE WHEN f.first IS NOT NULL AND p.page_id IS DISTINCT FROM f.first THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN p.page_id IS DISTINCT FROM f.first THEN f.first END AS refers_to
+FROM p LEFT JOIN f ON p.digest = f.digest AND p.n >= 100
+"""
+
+
+@query
+def op4_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
+    from plyscope.llm import lsh
+
+    return lsh.nearest(table(spark, folder, "embeddings"), k=20, every=20)
+
+
+#: The conversation whose texts hold control strings.
+TRICKY = (-7, "\\### Assistant: </turn> ok")
+
+
+@query
+def op6_chat_parts(spark: SparkSession, folder: str) -> DataFrame:
+    from plyscope.llm import chat
+
+    rows = table(spark, folder, "conversations").select("conv_id", F.col("turn").cast("long"), "role", "text")
+    tricky = [F.struct(F.lit(n).cast("long").alias("turn"), F.lit(role).alias("role")) for n, role in enumerate(("user", "assistant"))]
+    added = spark.range(1).select(F.lit(TRICKY[0]).cast("long").alias("conv_id"), F.explode(F.array(*tricky)).alias("t"))
+    rows = rows.unionByName(added.select("conv_id", "t.turn", "t.role", F.lit(TRICKY[1]).alias("text")))
+    done = chat.format_chat(rows.withColumn("parts", chat.text_part(F.col("text"))))
+    turns = F.transform(chat.read_turns(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = chat.read_loss(F.col("formatted"), F.col("loss_spans"))
+    return done.withColumns({"_turns": turns, "_loss": loss}).select(
+        "conv_id",
+        F.size("_turns").cast("long").alias("n_turns"),
+        F.sha2(F.concat_ws("", "_turns").cast("binary"), 256).alias("turns_sha256"),
+        F.length("_loss").cast("long").alias("loss_chars"),
+        F.sha2(F.col("_loss").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+SQL["op6_chat_parts"] = r"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), e AS (
+    SELECT *, length(role) + length(text)
+        + length(regexp_replace(role || text, '[^<>\\]', '', 'g')) + length('<turn >') + 1 + length('</turn>') + 1 AS formatted
+    FROM c
+)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(formatted) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query
+def op9_branch_and_bound(spark: SparkSession, folder: str) -> DataFrame:
+    from plyscope.llm import topk, vectors
+
+    rows = vectors.whole_vectors(table(spark, folder, "embeddings"), "vec_id", "embedding")
+    rows = rows.withColumn("v", F.transform("v", lambda x: F.floor(x * 256).cast("double")))
+    found = topk.exact_top_k(rows.where(vectors.is_query(F.col("id"), 50)), rows, k=5)
+    return found.withColumn("score", F.col("score").cast("long"))
+
+
+SQL["op9_branch_and_bound"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, p.vec_id, CAST(list_inner_product(q.c, p.c) AS BIGINT) AS score
+    FROM v q JOIN v p ON q.vec_id <> p.vec_id AND len(q.c) = len(p.c) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+
 @query
 def op10_differencing_windows(spark: SparkSession, folder: str) -> DataFrame:
     from plyscope.llm import packing
