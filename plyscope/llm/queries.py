@@ -116,6 +116,13 @@ FROM e GROUP BY conv_id
 """
 
 
+@query
+def op8_probminhash(spark: SparkSession, folder: str) -> DataFrame:
+    from plyscope.llm import minhash
+
+    return minhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "links")
+
+
 @query
 def op9_branch_and_bound(spark: SparkSession, folder: str) -> DataFrame:
     from plyscope.llm import topk, vectors
