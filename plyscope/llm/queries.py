@@ -72,6 +72,21 @@ def op4_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
     return lsh.nearest(table(spark, folder, "embeddings"), k=20, every=20)
 
 
+@query
+def op5_compression_distance(spark: SparkSession, folder: str) -> DataFrame:
+    from plyscope.llm import toxicity
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id",
+        toxicity.is_held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 #: The conversation whose texts hold control strings.
 TRICKY = (-7, "\\### Assistant: </turn> ok")
 
