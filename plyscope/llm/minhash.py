@@ -7,9 +7,9 @@ keeps the shingle that arrives first, and a shingle is dropped as soon as it arr
 registers. Two documents agree in a register with the probability Jaccard similarity of their weights, which for
 shingles that occur once is the Jaccard similarity of the sets.
 
-Documents that agree in all registers of a band are candidates. Of each band's bucket only links to one member are
-tried first (linear in the bucket), then those links whose ends are still apart, and last the pairs of members that
-are still in different classes. Every link is verified by the exact similarity. A class is a connected set of
+Documents that agree in all registers of a band are candidates. Of each band's bucket only links to one member, the
+one that shares most buckets with others, are tried first (linear in the bucket), then those links whose ends are still apart, and last the members that are
+still in different classes, block by block. Every link is verified by the exact similarity. A class is a connected set of
 verified links; its id is the smallest document id in it.
 
 NULL text counts as empty. Texts without a word are near-duplicates only of equal texts. Equal texts always share a
@@ -29,6 +29,9 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS = 24
 BAND_ROWS = 5
+#: Up to so many members all pairs of a bucket are verified as rows; larger buckets are compared block by block.
+FEW_MEMBERS = 16
+BLOCK_MEMBERS = 256
 _ROW_BITS = 14
 _ID_BITS = 64 - _ROW_BITS
 
@@ -157,6 +160,57 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return ends.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select(*pairs.columns)
 
 
+def between_blocks(members: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
+    """One verified link (a, b) for every two classes that are linked inside a bucket.
+
+    members: h, t, root, n. A bucket is cut into blocks of about ``BLOCK_MEMBERS`` and every two blocks are compared
+    in a task of their own, by products of the matrices of shingles that several of them have.
+    """
+    blocks = members.withColumn("of", F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int"))
+    blocks = blocks.withColumn("own", F.pmod(F.xxhash64("t"), "of").cast("int"))
+    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+    blocks = blocks.select("h", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "t", "root").join(texts, "t")
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.sort_by("t").combine_chunks()
+        names, roots, own = (group.column(c).to_pylist() for c in ("t", "root", "own"))
+        sets = []
+        for _, _, data, offsets in text_blocks(group.column("text").combine_chunks() if len(names) else pa.array([], pa.string())):
+            r, s, c = weighted_shingles(data, offsets, words)
+            cuts = np.searchsorted(r, np.arange(len(offsets)))
+            sets += [(s[x:y], c[x:y]) for x, y in zip(cuts, cuts[1:], strict=False)]
+        size = np.array([len(s) for s, _ in sets])
+        plain = np.array([bool((c == 1).all()) for _, c in sets])
+        every, inverse, n = np.unique(np.concatenate([s for s, _ in sets]), return_inverse=True, return_counts=True)
+        shared = np.flatnonzero(n > 1)
+        column = np.full(len(every), -1)
+        column[shared] = np.arange(len(shared))
+        row = np.repeat(np.arange(len(sets)), size)
+        common = np.zeros((len(sets), len(sets)), np.float32)
+        at = column[inverse]
+        for begin in range(0, len(shared), 8192):
+            here = (at >= begin) & (at < begin + 8192)
+            m = np.zeros((len(sets), min(8192, len(shared) - begin)), np.float32)
+            m[row[here], at[here] - begin] = 1
+            common += m @ m.T
+        label = np.unique(np.array([x.hex() for x in roots]), return_inverse=True)[1]
+        side = np.array(own)
+        apart = (label[:, None] < label[None, :]) & (common > 0)
+        if group.column("low")[0].as_py() != group.column("high")[0].as_py():
+            apart &= side[:, None] != side[None, :]
+        i, j = np.nonzero(apart)
+        both = plain[i] & plain[j]
+        good = np.zeros(len(i), dtype=bool)
+        good[both] = common[i[both], j[both]] >= (threshold - 1e-9) * (size[i[both]] + size[j[both]] - common[i[both], j[both]])
+        linked = {(label[x], label[y]): (x, y) for x, y in zip(i[good], j[good], strict=True)}
+        for x, y in zip(i[~both], j[~both], strict=True):
+            if (label[x], label[y]) not in linked and similarity(*sets[x], *sets[y]) >= threshold - 1e-12:
+                linked[(label[x], label[y])] = (x, y)
+        return pa.table({"a": pa.array([names[x] for x, _ in linked.values()], pa.binary()), "b": pa.array([names[y] for _, y in linked.values()], pa.binary())})
+
+    return blocks.groupBy("h", "low", "high").applyInArrow(compare, "a binary, b binary").distinct()
+
+
 def near_duplicates(
     df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, threshold: float = THRESHOLD, bands: int = BANDS, band_rows: int = BAND_ROWS
 ) -> DataFrame:
@@ -164,8 +218,13 @@ def near_duplicates(
     docs = stored(banded(df, key, text, words, bands, band_rows), "signatures")
     texts = docs.groupBy("t").agg(F.min("key").alias("first"), F.any_value("keys").alias("keys"))
     members = texts.select("t", F.explode("keys").alias("h"))
-    hubs = members.groupBy("h").agg(F.min("t").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "hub")
-    bucketed = stored(members.join(hubs, "h"), "buckets")
+    sizes = members.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    crowded = stored(members.join(sizes, "h"), "crowded")
+    # the member that meets most others is likely the text that the others were made from
+    met = crowded.groupBy("t").agg(F.sum("n").alias("met"))
+    hubs = crowded.join(met, "t").groupBy("h").agg(F.max(F.struct("met", "t")).alias("hub"))
+    hubs = hubs.select("h", F.col("hub.t").alias("hub"), F.col("hub.met").alias("met"))
+    bucketed = stored(crowded.select("h", "t").join(hubs, "h"), "buckets")
 
     involved = bucketed.select("t").distinct().join(texts.select("t", "first"), "t")
     source = df.select(F.col(f"`{key}`").cast("long").alias("k"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
@@ -176,7 +235,8 @@ def near_duplicates(
     def confirm(pairs: DataFrame) -> DataFrame:
         return settled(verified(pairs, held, words, threshold))
 
-    star = bucketed.where("t != hub").groupBy(F.col("t").alias("a")).agg(F.min("hub").alias("b"))
+    star = bucketed.where("t != hub").groupBy(F.col("t").alias("a")).agg(F.max(F.struct("met", "hub")).alias("best"))
+    star = star.select("a", F.col("best.hub").alias("b"))
     links = confirm(star)
     roots = components(links)
     rest = bucketed.where("t != hub").select(F.col("t").alias("a"), F.col("hub").alias("b")).distinct()
@@ -188,13 +248,14 @@ def near_duplicates(
     # buckets whose members are still in different classes
     placed = bucketed.select("h", "t").join(roots.select(F.col("node").alias("t"), "root"), "t", "left")
     placed = placed.withColumn("root", F.coalesce("root", "t"))
-    mixed = placed.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("h")
-    open_ = settled(placed.join(mixed, "h"))
-    left = open_.select("h", F.col("t").alias("a"), F.col("root").alias("ra"))
-    right = open_.select("h", F.col("t").alias("b"), F.col("root").alias("rb"))
+    mixed = placed.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")).where("low != high")
+    open_ = settled(placed.join(mixed.select("h", "n"), "h"))
+    few = open_.where(F.col("n") <= FEW_MEMBERS)
+    left = few.select("h", F.col("t").alias("a"), F.col("root").alias("ra"))
+    right = few.select("h", F.col("t").alias("b"), F.col("root").alias("rb"))
     last = left.join(right, "h").where("a < b and ra != rb").select("a", "b").distinct()
     last = last.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ["a", "b"], "left_anti")
-    more = confirm(last)
+    more = confirm(last).unionByName(settled(between_blocks(open_.where(F.col("n") > FEW_MEMBERS), held, words, threshold)))
     if not more.isEmpty():
         links = settled(links.unionByName(more))
         roots = components(links)
