@@ -65,6 +65,13 @@ FROM p LEFT JOIN f ON p.digest = f.digest AND p.n >= 100
 """
 
 
+@query
+def op3_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    from plyscope.llm import lm
+
+    return lm.scored(table(spark, folder, "documents"))
+
+
 @query
 def op4_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
     from plyscope.llm import lsh
