@@ -214,7 +214,7 @@ def between_blocks(members: DataFrame, texts: DataFrame, words: int, threshold:
 def near_duplicates(
     df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, threshold: float = THRESHOLD, bands: int = BANDS, band_rows: int = BAND_ROWS
 ) -> DataFrame:
-    """key, t (digest of the text), class_id, links: verified links to other texts that were needed to form the class."""
+    """Rows of key, t (digest of the text), class_id, links (verified links that formed the class), class_t (its document's t)."""
     docs = stored(banded(df, key, text, words, bands, band_rows), "signatures")
     texts = docs.groupBy("t").agg(F.min("key").alias("first"), F.any_value("keys").alias("keys"))
     members = texts.select("t", F.explode("keys").alias("h"))
@@ -262,7 +262,24 @@ def near_duplicates(
 
     named = texts.select("t", "first").join(roots.select(F.col("node").alias("t"), "root"), "t", "left")
     named = named.withColumn("root", F.coalesce("root", "t"))
-    classes = named.groupBy("root").agg(F.min("first").alias("class_id"))
+    smallest = F.min(F.struct(F.col("first").isNull().alias("none"), "first", "t"))
+    classes = named.groupBy("root").agg(smallest.alias("kept"))
     count = links.select(F.col("a").alias("t")).unionByName(links.select(F.col("b").alias("t"))).groupBy("t").agg(F.count(F.lit(1)).alias("links"))
-    found = stored(named.join(classes, "root").join(count, "t", "left").select("t", "class_id", F.coalesce("links", F.lit(0)).alias("links")), "classes")
-    return docs.select(F.col("key").alias(key), "t").join(found, "t").select(key, "t", "class_id", "links")
+    found = named.join(classes, "root").join(count, "t", "left")
+    found = found.select("t", F.col("kept.first").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"), F.col("kept.t").alias("class_t"))
+    found = stored(found, "classes")
+    return docs.select(F.col("key").alias(key), "t").join(found, "t").select(key, "t", "class_id", "links", "class_t")
+
+
+def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row of every class: the document with the smallest id (NULL last), and of its repeated rows any one."""
+    classes = near_duplicates(df, key, text, **options)
+    chosen = classes.where((F.col("t") == F.col("class_t")) & F.col(key).eqNullSafe(F.col("class_id")))
+    chosen = stored(chosen.groupBy("t", F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("rows")), "kept")
+    rows = df.withColumn("_t", F.unhex(F.md5(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))))
+
+    def of(which: DataFrame) -> DataFrame:
+        return rows.join(which, (rows["_t"] == which["t"]) & rows[key].cast("long").eqNullSafe(which["_key"]), "left_semi")
+
+    repeated = of(chosen.where("rows > 1")).dropDuplicates(["_t"])
+    return of(chosen.where("rows = 1")).unionByName(repeated).drop("_t")

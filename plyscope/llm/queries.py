@@ -138,6 +138,22 @@ FROM e GROUP BY conv_id
 """
 
 
+@query
+def op7_line_similarity_join(spark: SparkSession, folder: str) -> DataFrame:
+    from plyscope.llm import lines
+
+    done = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return done.select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.size("sources").cast("long").alias("links"),
+        F.least("doc_id", F.array_min("sources")).alias("class_id"),
+        "sources",
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"),
+    )
+
+
 @query
 def op8_probminhash(spark: SparkSession, folder: str) -> DataFrame:
     from plyscope.llm import minhash
@@ -175,3 +191,10 @@ def op10_differencing_windows(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
     digests = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
     return packing.pack(digests)
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
