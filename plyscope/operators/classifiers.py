@@ -195,7 +195,7 @@ def fit_model(
         model.boosted = []
         for i in range(len(labels)):
             one = GBTClassifier(
-                labelCol="_is", seed=seed, **{**BOOSTED_PARAMS, **(boosted_params or {})}
+                labelCol="_is", weightCol="weight", seed=seed, **{**BOOSTED_PARAMS, **(boosted_params or {})}
             )
             one = with_outputs(one, f"_boosted{i}")
             target = prepared.withColumn("_is", (F.col("_code") == i).cast("double"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
@@ -16,6 +18,8 @@ from plyscope.operators.scaling import fit_scaler, without_outliers
 from plyscope.schema import K_RANGE, SEED
 from plyscope.session import cut_lineage
 
+INDEX_NAMES = ("silhouette_score", "calinski_harabasz_index", "davies_bouldin_index")
+# The names of the methods.
 METHODS = ("kmeans", "hierarchical", "dbscan", "gmm", "birch")
 RESTARTS = 10
 
@@ -148,7 +152,7 @@ def cluster(
 
 
 def sweep_k(
-    points: DataFrame, coords: list[str], k_range=K_RANGE, seed: int = SEED, restarts: int = RESTARTS, squared: bool = False
+    points: DataFrame, coords: list[str], k_range=K_RANGE, seed: int = SEED, restarts: int = RESTARTS, squared: bool = True
 ) -> DataFrame:
     """Inertia and indices for each k, both ends of the range included."""
     rows = None
@@ -173,26 +177,34 @@ def compare_methods(
     methods=METHODS,
     coords: list[str] | None = None,
     explained: float | None = None,
-    squared: bool = False,
+    squared: bool = True,
     **options,
 ) -> DataFrame:
-    """One row of indices per method; a method that fails on the data is left out."""
+    """One row of indices per method.
+
+    A method that the data or the options do not suit has NULL indices and says why in
+    ``error``; any other failure, such as a lost executor, ends the comparison.
+    """
     coords = coords or ["x", "y"]
     rows = None
     for position, method in enumerate(methods):
+        named = [F.lit(position).alias("position"), F.lit(method).alias("method")]
+        variance = F.lit(explained).cast("double").alias("pca_explained_variance")
         try:
             result = cluster(points, method, k, coords, **options)
+        except (ValueError, IllegalArgumentException) as error:
+            empty = [F.lit(None).cast("double").alias(c) for c in INDEX_NAMES]
+            no_count = F.lit(None).cast("long").alias("n_clusters")
+            one = points.sparkSession.range(1).select(*named, no_count, *empty, variance, F.lit(str(error)).alias("error"))
+        else:
             result.labelled = cut_lineage(result.labelled.select(*coords, "cluster"))
-        except Exception as error:  # noqa: BLE001 - a failed fit must not end the comparison
-            print(f"left out {method}: {error}")
-            continue
-        one = all_indices(result.labelled, coords, squared=squared).select(
-            F.lit(position).alias("position"),
-            F.lit(method).alias("method"),
-            result.n_clusters().scalar().alias("n_clusters"),
-            "*",
-            F.lit(explained).cast("double").alias("pca_explained_variance"),
-        )
+            one = all_indices(result.labelled, coords, squared=squared).select(
+                *named,
+                result.n_clusters().scalar().alias("n_clusters"),
+                *INDEX_NAMES,
+                variance,
+                F.lit(None).cast("string").alias("error"),
+            )
         rows = one if rows is None else rows.unionByName(one)
     return rows
 
@@ -207,7 +219,7 @@ def silhouette_grid(
     columns: list[str],
     ks=(2, 3, 5),
     methods=("kmeans", "birch"),
-    squared: bool = False,
+    squared: bool = True,
     **options,
 ) -> DataFrame:
     """Silhouette per k and method, on the scaled features and on their two components."""
@@ -246,19 +258,34 @@ def cluster_by_stratum(
     drop_outliers: bool = False,
     **options,
 ) -> DataFrame:
-    """Separate clustering per time control; the controls are a fixed short list."""
-    table = profiles.join(strata, "player")
+    """Separate clustering per time control; the controls are a fixed short list.
+
+    Every player with a row in ``strata`` comes back. Outliers do not shape the clusters but get
+    the nearest one and ``outlier``. ``cluster`` is NULL for players without a control or with a
+    NULL feature, and in strata with fewer than k complete players to fit on.
+    """
+    table = profiles.drop("x", "y", "cluster", "outlier").join(strata, "player")
     names = sorted(
         r[0] for r in strata.select("time_control_category").distinct().collect() if r[0] is not None
     )
-    rows = None
+    complete = reduce(and_, (F.col(c).isNotNull() for c in columns))
+    kept = table.columns
+
+    def unplaced(df: DataFrame) -> DataFrame:
+        nothing = [F.lit(None).cast(t).alias(c) for c, t in (("x", "double"), ("y", "double"), ("cluster", "int"))]
+        return df.select(*kept, *nothing, F.lit(None).cast("boolean").alias("outlier"))
+
+    rows = unplaced(table.where(F.col("time_control_category").isNull() | ~complete))
     for name in names:
-        part = table.where(F.col("time_control_category") == name)
-        if drop_outliers:
-            part = without_outliers(part, columns)
-        if part.limit(k).count() < k:
+        part = table.where((F.col("time_control_category") == name) & complete)
+        inliers = without_outliers(part, columns) if drop_outliers else part
+        if inliers.limit(k).count() < k:
+            rows = rows.unionByName(unplaced(part))
             continue
-        points = fit_reduction(part, columns).transform(part)
-        one = cluster(points, "kmeans", k, **options).labelled
-        rows = one if rows is None else rows.unionByName(one)
+        reduction = fit_reduction(inliers, columns)
+        fitted = cluster(reduction.transform(inliers), "kmeans", k, **options)
+        placed = fitted.model.transform(reduction.transform(part))
+        inside = inliers.select("player", F.lit(False).alias("outlier")).distinct()
+        placed = placed.select(*kept, "x", "y", F.col("cluster").cast("int").alias("cluster")).join(inside, "player", "left")
+        rows = rows.unionByName(placed.withColumn("outlier", F.coalesce("outlier", F.lit(True))))
     return rows

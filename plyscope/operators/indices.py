@@ -201,7 +201,7 @@ def silhouette_squared(points: DataFrame, coords: list[str], label: str = "clust
     df = df.withColumns(
         {
             "_n": own["n"],
-            "_a": mean_gap(own) * own["n"] / (own["n"] - 1),
+            "_a": mean_gap(own) * own["n"] / F.nullif(own["n"] - 1, F.lit(0)),
             "_b": F.array_min(F.transform(others, mean_gap)),
         }
     )
@@ -213,11 +213,13 @@ def silhouette_squared(points: DataFrame, coords: list[str], label: str = "clust
 
 
 def all_indices(
-    points: DataFrame, coords: list[str], label: str = "cluster", squared: bool = False
+    points: DataFrame, coords: list[str], label: str = "cluster", squared: bool = True
 ) -> DataFrame:
     """One row with silhouette, Calinski–Harabasz and Davies–Bouldin.
 
-    A noise label counts as a cluster; a single label gives zeros.
+    The silhouette is the one with squared distances, linear in the points; ``squared=False``
+    asks for the Euclidean one, which compares all pairs. A noise label counts as a cluster; a
+    single label gives zeros.
     """
     first = (silhouette_squared if squared else silhouette)(points, coords, label)
     name = first.columns[0]

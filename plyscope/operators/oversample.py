@@ -103,8 +103,8 @@ def oversample(
 
     Row r of a class (in md5 order) is drawn need // n times, the first need % n rows once
     more. A draw picks one of the k nearest rows and a point between, both from hashes of
-    the key, so a rerun gives the same rows. A class with too few rows to have k
-    neighbours leaves the table as it is. Output: key (string), label, columns, synthetic.
+    the key, so a rerun gives the same rows. A class of n ≤ k rows has n − 1 neighbours a row,
+    and the only row of a class is repeated. Output: key (string), label, columns, synthetic.
     """
     sizes = {r[0]: r[1] for r in df.groupBy(label).count().collect()}  # one row per class
     largest = max(sizes.values(), default=0)
@@ -112,7 +112,7 @@ def oversample(
         F.col(key).cast("string").alias(key), label, *columns, F.lit(False).alias("synthetic")
     )
     short = {c: n for c, n in sizes.items() if n < largest}
-    if not short or min(short.values()) <= k:
+    if not short:
         return plain
     smaller = df.where(F.col(label).isin(list(short)))
     need = F.lit(largest) - F.col("_n")
@@ -124,8 +124,10 @@ def oversample(
         F.col(key).cast("string").alias("key"), label, *columns, F.explode(F.sequence(F.lit(1), "_draws")).alias("_draw")
     )
     neighbours = nearest_in_class(drawn, smaller, columns, label, key, short, k)
-    pick = (F.floor(hash_fraction(seed, "n", F.col("key"), F.col("_draw")) * k) + 1).cast("int")
-    chosen = base.join(neighbours, "key").withColumn("neighbour", F.element_at("neighbours", pick))
+    found = F.col("neighbours")
+    pick = (F.floor(hash_fraction(seed, "n", F.col("key"), F.col("_draw")) * F.size(found)) + 1).cast("int")
+    nearest = F.when(found.isNull(), F.col("key")).otherwise(F.element_at(found, pick))
+    chosen = base.join(neighbours, "key", "left").withColumn("neighbour", nearest)
     other = smaller.select(F.col(key).cast("string").alias("neighbour"), *[F.col(c).alias(f"_o_{c}") for c in columns])
     share = hash_fraction(seed, "u", F.col("key"), F.col("_draw"))
     synthetic = (

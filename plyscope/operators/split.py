@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from plyscope.operators.ranking import md5_row_number
 from plyscope.schema import SEED, TEST_SHARE, VAL_SHARE
@@ -18,19 +18,39 @@ def stratified_split(
 ) -> DataFrame:
     """Append ``fold`` (train / val / test), equal shares in every class.
 
-    The held-out share is cut first and then halved by ratio, in md5 order of the key,
-    so the same key lands in the same fold on any engine and any partitioning.
+    The held-out rows are counted over the whole table and dealt to the classes by largest
+    remainder, then the test rows among them likewise. Inside a class the md5 order of the key
+    decides, so the same key lands in the same fold on any engine and any partitioning.
     """
     ranked = md5_row_number(df, [label], [seed, F.col(key)], "_rank", "_class_size", [F.col(key)])
-    held = F.floor(F.col("_class_size") * F.lit(test + val) + 0.5)
-    in_val = F.floor(held * F.lit(val / (test + val)))
-    train = F.col("_class_size") - held
+    sizes = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("class")).agg(F.count(F.lit(1)).alias("n"))
+    everyone = F.sum("n").over(Window.partitionBy(F.lit(0)))
+    held = dealt(sizes.withColumn("part", F.ceil(everyone * F.lit(test + val) - 1e-9)), "n", "part", "held")
+    tested = F.ceil(F.col("part") * F.lit(test / (test + val)) - 1e-9)
+    folds = dealt(held.withColumn("val_part", F.col("part") - tested), "held", "val_part", "val")
+    # one entry per class
+    entries = folds.agg(F.map_from_entries(F.collect_list(F.struct("class", F.struct("held", "val")))).alias("m"))
+    sized = ranked.withColumn("_cut", F.try_element_at(entries.scalar(), F.col(label)))
+    train = F.col("_class_size") - F.col("_cut.held")
     fold = (
         F.when(F.col("_rank") <= train, "train")
-        .when(F.col("_rank") <= train + in_val, "val")
+        .when(F.col("_rank") <= train + F.col("_cut.val"), "val")
         .otherwise("test")
     )
-    return ranked.withColumn("fold", fold).drop("_rank", "_class_size")
+    return sized.withColumn("fold", fold).drop("_rank", "_class_size", "_cut")
+
+
+def dealt(classes: DataFrame, size: str, total: str, name: str) -> DataFrame:
+    """Append ``name``: each class's whole-number part of ``total``, by largest remainder.
+
+    ``classes`` has one row per class, so it fits into one window.
+    """
+    one = Window.partitionBy(F.lit(0))
+    quota = F.coalesce(F.col(size) * F.col(total) / F.nullif(F.sum(size).over(one), F.lit(0)), F.lit(0.0))
+    given = classes.withColumns({"_quota": quota, "_whole": F.floor(quota)})
+    turn = F.row_number().over(one.orderBy(F.desc(F.col("_quota") - F.col("_whole")), "class"))
+    left = F.col(total) - F.sum("_whole").over(one)
+    return given.withColumn(name, F.col("_whole") + (turn <= left).cast("long")).drop("_quota", "_whole")
 
 
 def class_distribution(df: DataFrame, label: str = "skill_tier") -> DataFrame:

@@ -90,7 +90,7 @@ def analyse(
     min_games: int = MIN_GAMES,
     force: bool = False,
     kinds=classifiers.KINDS,
-    squared_silhouette: bool = False,
+    squared_silhouette: bool = True,
     source: str = "",
     restarts: int = clusters.RESTARTS,
     **fit_options,
@@ -98,8 +98,8 @@ def analyse(
     """Run everything and store every result below ``out``.
 
     Stage tables are written once and read back, so a later stage never recomputes an
-    earlier one and a lost executor costs one task. ``squared_silhouette`` replaces the
-    exact quadratic index by the linear one on large player tables.
+    earlier one and a lost executor costs one task. ``squared_silhouette=False`` asks for the
+    Euclidean index, which compares all pairs of players.
     """
     usable = with_clock_data(full_games)
     features = tables.materialise(lambda: game_features(usable, positions), spark, f"{out}/game_features", force)

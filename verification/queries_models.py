@@ -43,9 +43,23 @@ def _(spark, sf):
     return split.label_codes(tables.players(spark, sf)).select("skill_tier", "code")
 
 
-_SPLIT = """SELECT *, CASE WHEN r <= n - held THEN 'train' WHEN r <= n - held + floor(held * CAST(0.5 AS DOUBLE)) THEN 'val' ELSE 'test' END AS fold
-  FROM (SELECT *, floor(n * CAST(0.3 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS held FROM (
-    SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY md5('42|' || {key}), {key}) AS r, count(*) OVER (PARTITION BY {label}) AS n FROM {table}))"""
+_DEALT = """SELECT *, floor(quota) + CASE WHEN row_number() OVER (ORDER BY quota - floor(quota) DESC, class) <= part - sum(floor(quota)) OVER () THEN 1 ELSE 0 END AS {name}
+  FROM (SELECT *, CAST({size} * part AS DOUBLE) / sum({size}) OVER () AS quota FROM ({classes}))"""
+_HELD = _DEALT.format(
+    name="held",
+    size="n",
+    classes="""SELECT *, ceil(sum(n) OVER () * CAST(0.3 AS DOUBLE) - CAST(1e-9 AS DOUBLE)) AS part FROM (
+      SELECT {label} AS class, count(*) AS n FROM {table} WHERE {label} IS NOT NULL GROUP BY 1)""",
+)
+_CUTS = _DEALT.format(
+    name="in_val",
+    size="held",
+    classes="SELECT class, held, part - ceil(part * CAST(0.5 AS DOUBLE) - CAST(1e-9 AS DOUBLE)) AS part FROM (" + _HELD + ")",
+)
+_SPLIT = """SELECT *, CASE WHEN r <= n - held THEN 'train' WHEN r <= n - held + in_val THEN 'val' ELSE 'test' END AS fold
+  FROM (SELECT t.*, c.held, c.in_val,
+      row_number() OVER (PARTITION BY {label} ORDER BY md5('42|' || {key}), {key}) AS r, count(*) OVER (PARTITION BY {label}) AS n
+    FROM {table} t JOIN (""" + _CUTS + """) c ON t.{label} = c.class)"""
 
 
 @query(
@@ -244,7 +258,7 @@ def _(spark, sf):
     return results
 
 
-@query("C18_saved_model")
+@query("C18_saved_model", f"SELECT player, true AS same FROM players WHERE {' AND '.join(f'{c} IS NOT NULL' for c in BASE)}")
 def _(spark, sf):
     df, columns = table_and_columns(spark, sf)
     model = _fit_all(df, columns)
@@ -253,7 +267,7 @@ def _(spark, sf):
     again = classifiers.load_model(spark, path)
     first = model.predict(df).select("player", "predicted")
     second = again.predict(df).select("player", F.col("predicted").alias("reloaded"))
-    return first.join(second, "player")
+    return first.join(second, "player").select("player", F.col("predicted").eqNullSafe(F.col("reloaded")).alias("same"))
 
 
 def _fit_all(df, columns):
