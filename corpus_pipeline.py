@@ -21,7 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents, without the lines that match an earlier one; n_chars follows the text."""
-    done = lines.dedup_lines(docs)
+    done = lines.dedup_lines(docs, linked=False)
     if "n_chars" in docs.columns:
         changed = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
         done = done.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))

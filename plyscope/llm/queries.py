@@ -147,8 +147,8 @@ def op7_line_similarity_join(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id",
         "n_lines",
         "n_removed",
-        F.size("sources").cast("long").alias("links"),
-        F.least("doc_id", F.array_min("sources")).alias("class_id"),
+        "links",
+        "class_id",
         "sources",
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"),
     )

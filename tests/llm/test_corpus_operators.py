@@ -343,6 +343,49 @@ def test_line_dedup(spark, awkward):
     assert lines.dedup_lines(docs_of(spark, [])).count() == 0
 
 
+def links_by_force(rows, threshold=0.8, least=5):
+    """id -> (ids of earlier documents with a matching line, smallest id of the class)."""
+    sets = collections.defaultdict(set)
+    for i, t in rows:
+        sets[i] |= {s for line in (t or "").split("\n") if len(s := frozenset(line.encode().lower().split())) >= least}
+    near = collections.defaultdict(set)
+    for x, y in itertools.combinations(sets, 2):
+        if any(len(a & b) >= threshold * len(a | b) - 1e-12 for a in sets[x] for b in sets[y]):
+            near[x].add(y)
+            near[y].add(x)
+    out = {}
+    for i in sets:
+        seen, open_ = {i}, [i]
+        while open_:
+            new = near[open_.pop()] - seen
+            seen |= new
+            open_ += new
+        out[i] = ({x for x in near[i] if x is None or (i is not None and x < i)}, min((x for x in seen if x is not None), default=None))
+    return out
+
+
+def test_line_links_and_classes(spark, awkward):
+    chain = [f"c{i}" for i in range(40)]
+    swap = lambda *at: " ".join(f"x{i}" if i in at else w for i, w in enumerate(chain))
+    rows = [*awkward, (610, swap(0, 1, 2, 3)), (620, swap(0, 1)), (630, swap(4, 5)), (640, swap(0, 1) + "\nother"), (650, swap(20, 21, 4, 5)), (660, swap(20, 21, 22, 23, 24, 4))]
+    rng = np.random.default_rng(11)
+    pool = [words(rng, int(n), 80) for n in rng.integers(5, 30, 12)]
+    for i in range(700, 760):
+        text = []
+        for _ in range(int(rng.integers(0, 4))):
+            own = list(pool[int(rng.integers(0, len(pool)))])
+            for _ in range(int(rng.integers(0, 4))):
+                own[int(rng.integers(0, len(own)))] = f"v{int(rng.integers(0, 30))}"
+            text.append(" ".join(own))
+        rows.append((i, "\n".join(text)))
+    want = links_by_force(rows)
+    assert len(want[640][0]) > 1
+    for r in lines.dedup_lines(docs_of(spark, rows)).collect():
+        earlier, smallest = want[r["doc_id"]]
+        assert (r["links"], r["sources"]) == (len(earlier), sorted(x for x in earlier if x is not None)), r["doc_id"]
+        assert r["class_id"] == smallest, r["doc_id"]
+
+
 # 8
 
 
