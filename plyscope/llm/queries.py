@@ -142,7 +142,7 @@ FROM e GROUP BY conv_id
 def op7_line_similarity_join(spark: SparkSession, folder: str) -> DataFrame:
     from plyscope.llm import lines
 
-    done = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    done = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"), least=1)
     return done.select(
         "doc_id",
         "n_lines",

@@ -386,6 +386,19 @@ def test_line_links_and_classes(spark, awkward):
         assert r["class_id"] == smallest, r["doc_id"]
 
 
+def test_short_lines_take_part(spark, tmp_path):
+    from plyscope.llm.queries import QUERIES
+
+    rows = [(1, "Yes\na b c d\n\n"), (2, "yes\na b c d e\nb c"), (3, "a b c\nno\n \n"), (4, "c b\nd c b A\nno no"), (5, "x\n\nq r s t u v")]
+    docs_of(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    kept, links = greedy_lines(rows, least=1), links_by_force(rows, least=1)
+    got = QUERIES["op7_line_similarity_join"](spark, str(tmp_path)).collect()
+    assert sum(r["n_removed"] for r in got) == 5
+    for r, (i, t) in zip(sorted(got), rows, strict=True):
+        assert r["text_sha256"] == hashlib.sha256(kept[(i, t)].encode()).hexdigest()
+        assert (set(r["sources"]), r["class_id"]) == links[i]
+
+
 # 8
 
 
