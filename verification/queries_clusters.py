@@ -19,17 +19,24 @@ from verification.tables import features, labelled, points, stored, stored_playe
 
 STYLE = list(STYLE_FEATURES)
 XY = ["x", "y"]
-RESTARTS = 2
 EPS, MIN_POINTS = 0.03, 5
 
 
 def style_map(spark, sf):
     """Style features of the players with their two components."""
+    return tables.once(spark, sf, "style map", lambda: _style_map(spark, sf))
+
+
+def _style_map(spark, sf):
     df, kept, _ = scaling.prepare_clustering(stored_players(spark, sf), STYLE)
     reduction = clusters.fit_reduction(df, kept)
     return stored(reduction.transform(df), "map"), kept, reduction
 
 
+def clustered(spark, sf, method="kmeans"):
+    return tables.once(spark, sf, f"clusters by {method}", lambda: clusters.cluster(style_map(spark, sf)[0], method))
+
+
 # --- preparation ---------------------------------------------------------------------
 
 
@@ -115,8 +122,7 @@ def _(spark, sf):
 def method_query(name, method):
     @query(name)
     def _(spark, sf):
-        df, _kept, _r = style_map(spark, sf)
-        return clusters.cluster(df, method, restarts=RESTARTS).labelled.select("player", "x", "y", "cluster")
+        return clustered(spark, sf, method).labelled.select("player", "x", "y", "cluster")
 
 
 for _name, _method in (
@@ -243,7 +249,7 @@ def _(spark, sf):
 @query("K16_k_sweep")
 def _(spark, sf):
     df, _, _ = style_map(spark, sf)
-    sweep = stored(clusters.sweep_k(df, XY, restarts=RESTARTS), "sweep")
+    sweep = stored(clusters.sweep_k(df, XY), "sweep")
     best = clusters.best_k(sweep).select("k", F.lit(True).alias("best"))
     return sweep.join(best, "k", "left").na.fill(False, subset=["best"])
 
@@ -251,7 +257,7 @@ def _(spark, sf):
 @query("K17_method_comparison")
 def _(spark, sf):
     df, _, reduction = style_map(spark, sf)
-    return clusters.compare_methods(df, explained=sum(reduction.explained), restarts=RESTARTS)
+    return clusters.compare_methods(df, explained=sum(reduction.explained))
 
 
 @query(
@@ -311,15 +317,14 @@ def _(spark, sf):
 
 @query("K22_player_map")
 def _(spark, sf):
-    df, _, _ = style_map(spark, sf)
-    placed = clusters.cluster(df, "kmeans", restarts=RESTARTS).labelled.select("player", "x", "y", "cluster")
+    placed = clustered(spark, sf).labelled.select("player", "x", "y", "cluster")
     return tables.stored_players(spark, sf).select("player", "elo", "skill_tier").join(placed, "player")
 
 
 @query("K23_saved_cluster_model")
 def _(spark, sf):
     df, _, _ = style_map(spark, sf)
-    result = clusters.cluster(df, "kmeans", restarts=RESTARTS)
+    result = clustered(spark, sf)
     path = scratch_path(spark, "cluster-model")
     result.model.write().overwrite().save(path)
     again = PipelineModel.load(path).transform(df).select("player", F.col("cluster").alias("reloaded"))
@@ -385,7 +390,7 @@ def _(spark, sf):
 @query("K28_silhouette_grid")
 def _(spark, sf):
     df, kept, _ = scaling.prepare_clustering(stored_players(spark, sf), STYLE)
-    return clusters.silhouette_grid(stored(df, "style"), kept, ks=(2, 3), restarts=1)
+    return clusters.silhouette_grid(stored(df, "style"), kept)
 
 
 # --- reports -------------------------------------------------------------------------

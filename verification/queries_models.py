@@ -16,10 +16,6 @@ from verification.tables import features, games, points
 from verification.views import PROFILE_ALL, PROFILE_BASE
 
 ALL, BASE = list(PROFILE_ALL), list(PROFILE_BASE)
-# Sizes that keep the fits short; the operators take the full ones by default.
-SMALL_FOREST = {"numTrees": 20, "maxDepth": 6}
-SMALL_BOOSTED = {"maxIter": 8, "maxDepth": 3}
-FIT = {"forest_params": SMALL_FOREST, "boosted_params": SMALL_BOOSTED}
 
 PAIRS = """pairs AS (SELECT game_id, white_skill_tier AS actual, black_skill_tier AS predicted FROM games),
 confusion AS (SELECT actual, predicted, count(*) AS n FROM pairs GROUP BY ALL),
@@ -124,9 +120,15 @@ def table_and_columns(spark, sf):
     return df, [c for c in ALL if c in df.columns]
 
 
+def _compared(spark, sf):
+    """The comparison of all kinds of models, and the results by kind."""
+    return tables.once(spark, sf, "models", lambda: classifiers.compare_models(*table_and_columns(spark, sf)))
+
+
 def _train(spark, sf, kind):
-    df, columns = table_and_columns(spark, sf)
-    return classifiers.train_classifier(df, columns, kind, **FIT)
+    if kind == classifiers.FOREST:  # alone it needs no boosted trees
+        return tables.once(spark, sf, kind, lambda: classifiers.train_classifier(*table_and_columns(spark, sf), kind))
+    return _compared(spark, sf)[1][kind]
 
 
 @query("C05_random_forest")
@@ -253,15 +255,14 @@ def _(spark, sf):
 @query("C17_grid_search")
 def _(spark, sf):
     df, columns = table_and_columns(spark, sf)
-    grid = {"numTrees": [5, 10], "maxDepth": [3, 5]}
-    _, results = classifiers.tune(df, columns, classifiers.FOREST, grid=grid, folds=3)
+    _, results = classifiers.tune(df, columns, classifiers.FOREST)
     return results
 
 
 @query("C18_saved_model", f"SELECT player, true AS same FROM players WHERE {' AND '.join(f'{c} IS NOT NULL' for c in BASE)}")
 def _(spark, sf):
     df, columns = table_and_columns(spark, sf)
-    model = _fit_all(df, columns)
+    model = _fit_all(spark, sf, df, columns)
     path = scratch_path(spark, "model")
     model.save(path)
     again = classifiers.load_model(spark, path)
@@ -270,21 +271,21 @@ def _(spark, sf):
     return first.join(second, "player").select("player", F.col("predicted").eqNullSafe(F.col("reloaded")).alias("same"))
 
 
-def _fit_all(df, columns):
-    return classifiers.fit_model(df, columns, sorted(TIERS), classifiers.ENSEMBLE, "skill_tier", **FIT)
+def _fit_all(spark, sf, df, columns):
+    make = lambda: classifiers.fit_model(df, columns, sorted(TIERS), classifiers.ENSEMBLE, "skill_tier")
+    return tables.once(spark, sf, "model of all rows", make)
 
 
 @query("C19_batch_scoring")
 def _(spark, sf):
     df, columns = table_and_columns(spark, sf)
-    scored = _fit_all(df, columns).predict(df)
+    scored = _fit_all(spark, sf, df, columns).predict(df)
     return scored.select("player", "skill_tier", "predicted", *[F.col("probability")[i].alias(f"p{i}") for i in range(3)])
 
 
 @query("C20_model_comparison")
 def _(spark, sf):
-    df, columns = table_and_columns(spark, sf)
-    rows, _ = classifiers.compare_models(df, columns, **FIT)
+    rows, _ = _compared(spark, sf)
     best = classifiers.best_model(rows).select("model_type", F.lit(True).alias("best"))
     return rows.join(best, "model_type", "left").na.fill(False, subset=["best"])
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plyscope.operators.games import game_features
@@ -39,6 +41,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+_MADE: dict[tuple, object] = {}
+
+
+def once(spark: SparkSession, sf: str, name: str, make: Callable[[], object]):
+    """What ``make`` gives, made once in a session for a folder and shared by the queries that show it."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _MADE:
+        for old in [k for k in _MADE if k[0] != key[0]]:  # of sessions that have ended
+            del _MADE[old]
+        _MADE[key] = make()
+    return _MADE[key]
+
+
 def stored_players(spark: SparkSession, sf: str, **options) -> DataFrame:
     return stored(players(spark, sf, **options), "players")
 
