@@ -198,3 +198,48 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, folder)
+
+
+@query
+def op11_jacobi_davidson(spark: SparkSession, folder: str) -> DataFrame:
+    from plyscope.llm import whitening
+
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
+@query
+def op12_spanning_tree_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    from plyscope.llm import negatives
+
+    rows = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(negatives.labelled_vectors(rows.withColumn("label", moved)))
+
+
+SQL["op12_spanning_tree_negatives"] = """
+WITH v AS (
+    SELECT DISTINCT CAST(vec_id AS BIGINT) AS id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.id AS anchor_id, a.label AS anchor_label, x.id, x.label, CAST(list_inner_product(a.c, x.c) AS BIGINT) AS score
+    FROM v a JOIN v x ON a.id <> x.id AND len(a.c) = len(x.c) WHERE a.id % 100 = 0
+), p AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE label = anchor_label
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+    s.id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.anchor_label
+    AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY rank <= 10
+"""
+
+
+@query
+def op13_weighted_sampling(spark: SparkSession, folder: str) -> DataFrame:
+    from plyscope.llm import fingerprints
+
+    return fingerprints.edited(table(spark, folder, "documents"))
