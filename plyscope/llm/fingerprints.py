@@ -8,7 +8,7 @@ share a sample if their lowest bidders agree in term and t, which has a chance e
 similarity, the sum of the smaller weights over that of the larger ones. A fingerprint writes 16 bits of each sample in
 hexadecimal; the likeness of two is the share of places where they agree.
 
-Bids are unrolled into columns of one hash aggregation, so a document of any length is summed up as it streams by. All
+Bids are columns of one hash aggregation, so a document of any length is summed up as it streams by. All
 terms of a document come from its own row, which is moved once, with the beginnings of the texts that are wanted
 elsewhere; terms are never moved.
 
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from plyscope.llm.common import settled, stored
 
 SAMPLES = 64
+AT_ONCE = 8
 LOWEST = -(2**63)  # stands for a NULL id
 # scripts without spaces between words
 IDEOGRAPH = r"[⺀-힯豈-﫿]"
@@ -33,7 +34,7 @@ BEHIND = r"(?<=[⺀-힯豈-﫿])"
 
 
 def term_hashes(text: Column) -> Column:
-    """A 64-bit hash for every occurrence of a term."""
+    """A 64-bit hash of every occurrence of a term."""
     low = F.lower(text)
     words = F.when(low.rlike(IDEOGRAPH), F.split(low, rf"\s+|(?={IDEOGRAPH})|{BEHIND}")).otherwise(F.split(low, r"\s+"))
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
@@ -45,35 +46,54 @@ def _uniform(bits: Column, shift: int, width: int) -> Column:
     return (part.cast("double") + 0.5) * 2.0**-width
 
 
-def bid(term: Column, log_weight: Column, sample: int) -> Column:
-    """The bid of a term for one sample; the smaller, the better."""
-    first, second = F.xxhash64(term, F.lit(sample)), F.xxhash64(F.lit(sample), term)
+def draws(term: Column, sample: Column) -> tuple[Column, Column, Column]:
+    """r, ln c and b of a term for one sample."""
+    first, second = F.xxhash64(term, sample), F.xxhash64(sample, term)
     r = -F.ln(_uniform(first, 0, 32) * _uniform(first, 32, 32))
     c = -F.ln(_uniform(second, 0, 22) * _uniform(second, 22, 21))
-    b = _uniform(second, 43, 21)
-    t = F.floor(log_weight / r + b)
-    return F.ln(c) - r * (t - b + 1.0)
+    return r, F.ln(c), _uniform(second, 43, 21)
 
 
-def fingerprints(terms: DataFrame, keys: list[str], samples: int = SAMPLES, kept: list[Column] | None = None) -> DataFrame:
-    """``fingerprint`` of every group of (keys, term, weight); rows without a term add nothing but keep their group.
+def bid(drawn: tuple[Column, Column, Column], log_weight: Column) -> Column:
+    """The bid of a term for one sample, the smaller, the better; NULL without a weight."""
+    r, log_c, b = drawn
+    return log_c - r * (F.floor(log_weight / r + b) - b + 1.0)
 
-    ``kept`` are further aggregates over the rows of a group.
-    """
-    log_weight = F.ln(F.col("weight"))
-    lowest = [F.min(bid(F.col("term"), log_weight, k)).alias(f"_m{k}") for k in range(samples)]
-    found = terms.groupBy(*keys).agg(*lowest, *(kept or []))
-    digits = [F.lpad(F.lower(F.hex(F.xxhash64(f"_m{k}").bitwiseAND(F.lit(0xFFFF)))), 4, "0") for k in range(samples)]
-    whole = F.when(F.col("_m0").isNull(), F.lit("0000" * samples)).otherwise(F.concat(*digits))
-    return found.withColumn("fingerprint", whole).drop(*[f"_m{k}" for k in range(samples)])
 
+def fingerprints(terms: DataFrame, keys: list[str], weights: dict[str, str], kept: list[Column] | None = None) -> DataFrame:
+    """For every group of keys and each entry (name, weight column) of ``weights``, the fingerprint ``name``.
 
-def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
+    ``terms`` has ``term`` once for each group, and its weights; a NULL or zero weight does not take part, and rows
+    without a term only keep their group. All weights share the draws of a term. Samples are dealt to some rows a
+    term, as many as keep the unrolled columns in short compiled code. ``kept`` are further aggregates over a group.
+    """
+    turns = SAMPLES // AT_ONCE
+    dealt = terms.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
+    dealt = dealt.withColumns({f"_l{i}": F.ln(F.col(c)) for i, c in enumerate(weights.values())})
+    lowest = []
+    for k in range(AT_ONCE):
+        drawn = draws(F.col("term"), F.col("turn") * AT_ONCE + k)
+        lowest += [F.min(bid(drawn, F.col(f"_l{i}"))).alias(f"_m{i}_{k}") for i in range(len(weights))]
+    found = dealt.groupBy(*keys, "turn").agg(*lowest, *(kept or []))
+    digits = lambda m: F.lpad(F.lower(F.hex(F.xxhash64(m).bitwiseAND(F.lit(0xFFFF)))), 4, "0")
+    texts = [
+        F.when(F.col(f"_m{i}_0").isNull(), F.lit("0000" * AT_ONCE)).otherwise(F.concat(*[digits(f"_m{i}_{k}") for k in range(AT_ONCE)]))
+        for i in range(len(weights))
+    ]
+    names = [f"_t{i}" for i in range(len(weights))]
+    rest = [c for c in found.columns if c not in (*keys, "turn") and not c.startswith("_m")]
+    found = found.select(*keys, *rest, F.struct("turn", *[t.alias(n) for t, n in zip(texts, names, strict=True)]).alias("_part"))
+    whole = found.groupBy(*keys).agg(F.array_sort(F.collect_list("_part")).alias("_parts"), *[F.max(c).alias(c) for c in rest])
+    made = [F.array_join(F.col(f"_parts.{n}"), "").alias(name) for n, name in zip(names, weights, strict=True)]
+    return whole.select(*keys, *made, *rest)
+
+
+def likeness(a: Column, b: Column) -> Column:
     """Share of the samples that agree; 0 if one has none, 1 if both have none."""
-    empty = F.lit("0000" * samples)
-    places = F.sequence(F.lit(0), F.lit(samples - 1))
+    empty = F.lit("0000" * SAMPLES)
+    places = F.sequence(F.lit(0), F.lit(SAMPLES - 1))
     same = F.filter(places, lambda i: F.substring(a, i * 4 + 1, F.lit(4)) == F.substring(b, i * 4 + 1, F.lit(4)))
-    return F.when(a == b, 1.0).when((a == empty) | (b == empty), 0.0).otherwise(F.size(same) / float(samples))
+    return F.when(a == b, 1.0).when((a == empty) | (b == empty), 0.0).otherwise(F.size(same) / float(SAMPLES))
 
 
 def _order(rows: DataFrame) -> DataFrame:
@@ -100,7 +120,7 @@ def _digest_parts(text: Column) -> list[Column]:
     return [F.conv(F.substring(digest, 16 * i + 1, 16), 16, -10).cast("long") for i in range(4)]
 
 
-def edited(docs: DataFrame, key: str = "doc_id", text: str = "text", samples: int = SAMPLES) -> DataFrame:
+def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row."""
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     rows = docs.select(F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(LOWEST)).alias("kid"), F.xxhash64(body).alias("h"), body.alias("text"))
@@ -116,29 +136,27 @@ def edited(docs: DataFrame, key: str = "doc_id", text: str = "text", samples: in
     own = F.transform(term_hashes(F.col("text")), lambda x: F.struct(F.lit(0).alias("part"), x.alias("x")))
     after = F.transform(term_hashes(F.col("edited")), lambda x: F.struct(F.lit(0).alias("part"), x.alias("x")))
     parts = [F.struct(F.lit(i + 1).alias("part"), p.alias("x")) for i, p in enumerate(_digest_parts(F.col("edited")))]
-    none = F.array(F.struct(F.lit(5).alias("part"), F.lit(0).cast("long").alias("x")))
     sides = F.array(
-        F.struct(F.lit(False).alias("changed"), F.concat(own, none).alias("terms")),
+        F.struct(F.lit(False).alias("changed"), own.alias("terms")),
         F.struct(F.lit(True).alias("changed"), F.concat(after, F.array(*parts)).alias("terms")),
     )
     listed = both.select(*keys, F.explode(sides).alias("s")).select(*keys, "s.changed", F.explode("s.terms").alias("e"))
-    counted = listed.groupBy(*keys, "changed", "e.part", "e.x").agg(F.count(F.lit(1)).alias("weight"))
+    old, new = (F.count(F.when(c, 1)) for c in (~F.col("changed"), F.col("changed")))
+    counted = listed.groupBy(*keys, "e.part", "e.x").agg(old.alias("old"), new.alias("new"))
     terms = counted.withColumn("term", F.when(F.col("part") == 0, F.col("x")))
     digest = [F.max(F.when(F.col("part") == i + 1, F.col("x"))).alias(f"_d{i}") for i in range(4)]
-    made = fingerprints(terms, [*keys, "changed"], samples, digest)
+    made = fingerprints(terms, keys, {"fingerprint": "old", "edited_fingerprint": "new"}, digest)
     sha = F.lower(F.concat(*[F.lpad(F.hex(f"_d{i}"), 16, "0") for i in range(4)]))
-    made = stored(made.select(*keys, "changed", "fingerprint", sha.alias("sha")), "fingerprints")
-    before = made.where("not changed").select(*keys, "fingerprint")
-    later = made.where("changed").select(*keys, F.col("fingerprint").alias("edited_fingerprint"), F.col("sha").alias("edited_sha256"))
-    told = order.join(before, keys)
+    made = stored(made.select(*keys, "fingerprint", "edited_fingerprint", sha.alias("edited_sha256")), "fingerprints")
+    told = made.join(order, keys)
     following = told.select(F.col("pk").alias("kid"), F.col("ph").alias("h"), F.col("fingerprint").alias("next"))
-    done = told.join(later, keys).join(following, keys)
+    done = told.join(following, keys)
     return done.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(
         F.when(F.col("kid") != LOWEST, F.col("kid")).alias("doc_id"),
         F.col("n").cast("long").alias("n_chars"),
         "edited_sha256",
         "fingerprint",
         "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint"), samples).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next"), samples).alias("near_next"),
+        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        likeness(F.col("fingerprint"), F.col("next")).alias("near_next"),
     )

@@ -132,10 +132,10 @@ class Pair:
     def __init__(self, anchors: dict, rows: dict):
         d = anchors["dims"]
         self.ids, self.labels = (np.frombuffer(anchors[c], "<i8") for c in ("ids", "labels"))
-        self.a = np.frombuffer(anchors["data"], "<f8").reshape(-1, d)
+        self.a = np.frombuffer(anchors["data"], "<f8").reshape(len(self.ids), d)
         self.parents, self.edges = np.frombuffer(anchors["parents"], "<i8"), np.frombuffer(anchors["edges"], "<f8")
         self.row_ids, self.row_labels = (np.frombuffer(rows[c], "<i8") for c in ("ids", "labels"))
-        self.x = np.frombuffer(rows["data"], "<f8").reshape(-1, d)
+        self.x = np.frombuffer(rows["data"], "<f8").reshape(len(self.row_ids), d)
         self.lengths = np.sqrt(np.einsum("ij,ij->i", self.x, self.x))
         most = [float(np.abs(m).max(initial=0.0)) for m in (self.a, self.x)]
         self.exact = most[0] * most[1] * max(d, 1) < EXACT
