@@ -1,18 +1,21 @@
-"""Tier classifiers on Spark ML: forest, boosted trees, and their soft vote."""
+"""Tier classifiers: forest (Spark ML), softmax boosted trees, and their soft vote; grid search over tree prefixes."""
 
 from __future__ import annotations
 
+import itertools
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from plyscope.functions.numbers import hash_fraction
+from plyscope.operators import trees
 from plyscope.operators.metrics import confusion_matrix, full_report, scores_of_counts
 from plyscope.operators.oversample import oversample
 from plyscope.operators.scaling import fit_scaler
@@ -57,21 +60,16 @@ def soft_vote(df: DataFrame, probabilities: list[str], labels: list[str]) -> Dat
     ).withColumn("predicted", arg_max_label(F.col("probability"), labels))
 
 
-def one_vs_rest_probability(positives: list[Column]) -> Column:
-    """Positive-class probabilities scaled to sum to one."""
-    total = sum(positives[1:], positives[0])
-    return F.array(*[F.when(total > 0, p / total).otherwise(F.lit(1.0 / len(positives))) for p in positives])
-
-
 @dataclass
 class TierModel:
-    """Fitted members: a forest is one pipeline, boosted trees one pipeline per label."""
+    """Fitted members: a Spark ML forest as one pipeline, and an ensemble of histogram trees behind its scaler."""
 
     kind: str
     labels: list[str]
     columns: list[str]
     forest: PipelineModel | None = None
-    boosted: list[PipelineModel] | None = None
+    boosted: trees.Ensemble | None = None
+    scaler: PipelineModel | None = None
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Append ``probability`` (in label order) and ``predicted``; a narrow pass."""
@@ -81,12 +79,12 @@ class TierModel:
             members.append("_p_forest")
             df = df.select(*keep, *members)
         if self.boosted:
-            for i, model in enumerate(self.boosted):
-                df = model.transform(df).withColumn(f"_pos{i}", vector_to_array(f"_boosted{i}_probability")[1])
-                df = df.select(*keep, *members, *[f"_pos{j}" for j in range(i + 1)])
-            positives = [F.col(f"_pos{i}") for i in range(len(self.boosted))]
-            df = df.withColumn("_p_boosted", one_vs_rest_probability(positives))
+            df = self.scaler.transform(df) if self.scaler else df
+            names = [f"z_{c}" if self.scaler else c for c in self.columns]
+            features = F.array(*[F.col(c).cast("double") for c in names])
+            df = df.withColumn("_p_boosted", self.boosted.probability(features))
             members.append("_p_boosted")
+            df = df.select(*keep, *members)
         return soft_vote(df, members, self.labels).select(*keep, "probability", "predicted")
 
     def restricted(self, kind: str) -> TierModel:
@@ -97,6 +95,7 @@ class TierModel:
             self.columns,
             self.forest if kind != BOOSTED else None,
             self.boosted if kind != FOREST else None,
+            self.scaler if kind != FOREST else None,
         )
 
     def importances(self, spark: SparkSession) -> DataFrame:
@@ -105,8 +104,7 @@ class TierModel:
         if self.forest:
             members.append(list(self.forest.stages[-1].featureImportances.toArray()))
         if self.boosted:
-            per_label = [m.stages[-1].featureImportances.toArray() for m in self.boosted]
-            members.append(list(sum(per_label) / len(per_label)))
+            members.append(list(self.boosted.importances()))
         mean = [float(sum(v) / len(members)) for v in zip(*members)]
         rows = list(zip(self.columns, mean))
         return spark.createDataFrame(rows, "feature string, importance double").orderBy(
@@ -114,17 +112,14 @@ class TierModel:
         )
 
     def save(self, path: str) -> None:
-        parts = {"forest": [self.forest] if self.forest else [], "boosted": self.boosted or []}
-        for name, models in parts.items():
-            for i, model in enumerate(models):
-                model.write().overwrite().save(f"{path}/{name}_{i}")
-        meta = {
-            "kind": self.kind,
-            "labels": self.labels,
-            "columns": self.columns,
-            "parts": {k: len(v) for k, v in parts.items()},
-        }
         spark = SparkSession.getActiveSession()
+        for name, part in (("forest", self.forest), ("scaler", self.scaler)):
+            if part:
+                part.write().overwrite().save(f"{path}/{name}")
+        if self.boosted:
+            self.boosted.save(spark, f"{path}/boosted")
+        held = [name for name in ("forest", "boosted", "scaler") if getattr(self, name)]
+        meta = {"kind": self.kind, "labels": self.labels, "columns": self.columns, "parts": held}
         spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode(
             "overwrite"
         ).text(f"{path}/meta")
@@ -132,17 +127,20 @@ class TierModel:
 
 def load_model(spark: SparkSession, path: str) -> TierModel:
     meta = json.loads(spark.read.text(f"{path}/meta").first()["value"])
-    parts = {
-        name: [PipelineModel.load(f"{path}/{name}_{i}") for i in range(n)]
-        for name, n in meta["parts"].items()
+    load = {"boosted": lambda p: trees.Ensemble.load(spark, p)}
+    parts = {name: load.get(name, PipelineModel.load)(f"{path}/{name}") for name in meta["parts"]}
+    return TierModel(meta["kind"], meta["labels"], meta["columns"], **parts)
+
+
+def boosting_options(params: dict) -> dict:
+    """Parameters of the boosted trees as the tree engine names them."""
+    return {
+        "rounds": params["maxIter"],
+        "depth": params["maxDepth"],
+        "step": params["stepSize"],
+        "rows_share": params.get("subsamplingRate", 1.0),
+        "features_share": float(params.get("featureSubsetStrategy", 1.0)),
     }
-    return TierModel(
-        meta["kind"],
-        meta["labels"],
-        meta["columns"],
-        parts["forest"][0] if parts["forest"] else None,
-        parts["boosted"] or None,
-    )
 
 
 def fit_model(
@@ -171,10 +169,8 @@ def fit_model(
         rows = cut_lineage(oversample(rows, scaled, label, key, seed=seed))
     rows = with_label_code(with_class_weight(rows, label), labels, label, "_code")
     assembler = VectorAssembler(inputCols=scaled, outputCol="_features")
-    prepared = assembler.transform(rows).select(
-        F.col("_code").cast("double").alias("_code"), "weight", "_features"
-    ).persist()
-    shared = [SQLTransformer(statement=scaler.sql("z_")), assembler]
+    rows = cut_lineage(rows.select(key, "_code", "weight", *scaled))
+    scaling = SQLTransformer(statement=scaler.sql("z_"))
 
     def with_outputs(estimator, prefix):
         return (
@@ -186,21 +182,18 @@ def fit_model(
 
     model = TierModel(kind, list(labels), list(columns))
     if kind in (FOREST, ENSEMBLE):
+        prepared = assembler.transform(rows).select(F.col("_code").cast("double").alias("_code"), "weight", "_features")
         forest = RandomForestClassifier(
             labelCol="_code", weightCol="weight", seed=seed, **{**FOREST_PARAMS, **(forest_params or {})}
         )
         forest = with_outputs(forest, "_forest")
-        model.forest = PipelineModel([*shared, forest.fit(prepared)])
+        model.forest = PipelineModel([scaling, assembler, forest.fit(prepared)])
     if kind in (BOOSTED, ENSEMBLE):
-        model.boosted = []
-        for i in range(len(labels)):
-            one = GBTClassifier(
-                labelCol="_is", weightCol="weight", seed=seed, **{**BOOSTED_PARAMS, **(boosted_params or {})}
-            )
-            one = with_outputs(one, f"_boosted{i}")
-            target = prepared.withColumn("_is", (F.col("_code") == i).cast("double"))
-            model.boosted.append(PipelineModel([*shared, one.fit(target)]))
-    prepared.unpersist()
+        edges = trees.bin_edges(rows, scaled)
+        data = trees.blocks(rows, scaled, "_code", "weight", key, edges, len(labels))
+        options = boosting_options({**BOOSTED_PARAMS, **(boosted_params or {})})
+        model.boosted = trees.fit_boosted(data, edges, len(labels), seed=seed, **options)
+        model.scaler = PipelineModel([scaling])
     return model
 
 
@@ -261,12 +254,11 @@ def train_and_compare(
     unknown = [k for k in kinds if k not in KINDS]
     if unknown:
         raise ValueError(f"unknown model kind: {unknown}")
-    split = stratified_split(table.select(key, label, *columns), label, key).persist()
+    split = cut_lineage(stratified_split(table.select(key, label, *columns), label, key))
     labels = sorted(r[0] for r in split.select(label).distinct().collect())  # one row per class
     fitted = kinds[0] if len(set(kinds)) == 1 else ENSEMBLE
     model = fit_model(split.where("fold = 'train'"), columns, labels, fitted, label, key, **fit_options)
     results = {k: evaluate(model.restricted(k), split, label) for k in kinds}
-    split.unpersist()
     return results
 
 
@@ -299,39 +291,55 @@ def tune(
     folds: int = 5,
     parallelism: int = 4,
     seed: int = SEED,
-) -> tuple[PipelineModel, DataFrame]:
-    """Grid search by cross-validated accuracy; scaling is refitted inside every fold."""
-    if kind == FOREST:
-        base, grid = RandomForestClassifier(labelCol="_code", featuresCol="_scaled", seed=seed), grid or FOREST_GRID
-        final = base
-    elif kind == BOOSTED:
-        base, grid = GBTClassifier(seed=seed), grid or BOOSTED_GRID
-        final = OneVsRest(classifier=base, labelCol="_code", featuresCol="_scaled")
-    else:
+    key: str = "player",
+) -> tuple[TierModel, DataFrame]:
+    """Grid search by cross-validated accuracy; returns the best model, fitted on all rows, and the scores.
+
+    Trees do not depend on how many follow, nor on how deep they may become, so one forest for each fold and leaf
+    size serves all its numbers of trees and depths, and one boosting for each fold, depth and step all its numbers of
+    rounds. The bins of a fold come from its training rows. Bins follow the order of the values, so scaling, which
+    trees do not see, is left out.
+    """
+    grids = {FOREST: FOREST_GRID, BOOSTED: BOOSTED_GRID}
+    if kind not in grids:
         raise ValueError(f"unknown model kind: {kind}")
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(base.getParam(name), values)
-    maps = builder.build()
-    pipeline = Pipeline(
-        stages=[
-            StringIndexer(inputCol=label, outputCol="_code", stringOrderType="alphabetAsc"),
-            VectorAssembler(inputCols=columns, outputCol="_features"),
-            StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True),
-            final,
-        ]
-    )
-    search = CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=maps,
-        evaluator=MulticlassClassificationEvaluator(labelCol="_code", metricName="accuracy"),
-        numFolds=folds,
-        parallelism=parallelism,
-        seed=seed,
-    ).fit(table.select(label, *columns))
-    rows = [
-        (json.dumps({p.name: v for p, v in m.items()}, sort_keys=True), float(a))
-        for m, a in zip(maps, search.avgMetrics)
-    ]
-    results = table.sparkSession.createDataFrame(rows, "params string, accuracy double")
-    return search.bestModel, results.orderBy(F.desc("accuracy"), "params")
+    grid = {**{n: [v] for n, v in {**FOREST_PARAMS, **BOOSTED_PARAMS}.items() if n in grids[kind]}, **(grid or grids[kind])}
+    fold = F.floor(hash_fraction(seed, "fold", F.col(key)) * folds).cast("int")
+    labels = sorted(r[0] for r in table.select(label).distinct().collect() if r[0] is not None)  # one row per class
+    rows = with_label_code(table.select(key, label, *columns), labels, label, "_code")
+    rows = cut_lineage(rows.withColumn("_fold", fold))
+    sizes = grid["numTrees" if kind == FOREST else "maxIter"]
+    depths = grid["maxDepth"] if kind == FOREST else [None]
+    rest = grid["minInstancesPerNode"] if kind == FOREST else list(itertools.product(grid["maxDepth"], grid["stepSize"]))
+
+    def fitted(train: DataFrame, size: int, depth, other) -> tuple[trees.Ensemble, list]:
+        edges = trees.bin_edges(train, columns)
+        data = trees.blocks(train, columns, "_code", None, key, edges, len(labels))
+        if kind == FOREST:
+            return trees.fit_forest(data, edges, len(labels), size, depth, other, seed), edges
+        return trees.fit_boosted(data, edges, len(labels), size, other[0], other[1], seed=seed), edges
+
+    def scores(job) -> list[tuple]:
+        i, other = job
+        model, edges = fitted(rows.where(F.col("_fold") != i), max(sizes), max(depths) if kind == FOREST else None, other)
+        held = trees.blocks(rows.where(F.col("_fold") == i), columns, "_code", None, key, edges, len(labels))
+        found = trees.hits(held, model, sizes, depths)
+        return [(size, depth, other, right / n) for (size, depth), (right, n) in found.items()]
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        one = inheritable_thread_target(table.sparkSession)(scores)
+        done = [x for part in pool.map(one, itertools.product(range(folds), rest)) for x in part]
+    means: dict[tuple, list[float]] = {}
+    for size, depth, other, accuracy in done:
+        means.setdefault((size, depth, other), []).append(accuracy)
+
+    def named(size, depth, other) -> str:
+        if kind == FOREST:
+            return json.dumps({"numTrees": size, "maxDepth": depth, "minInstancesPerNode": other}, sort_keys=True)
+        return json.dumps({"maxIter": size, "maxDepth": other[0], "stepSize": other[1]}, sort_keys=True)
+
+    results = sorted((-sum(v) / len(v), named(*k), k) for k, v in means.items())
+    best, _ = fitted(rows, *results[0][2])
+    table_of = [(name, -a) for a, name, _ in results]
+    scored = table.sparkSession.createDataFrame(table_of, "params string, accuracy double")
+    return TierModel(kind, labels, list(columns), boosted=best), scored.orderBy(F.desc("accuracy"), "params")
