@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from plyscope.operators import clusters, indices, profiles, reports, scaling
+from plyscope.operators import classifiers, clusters, indices, profiles, reports, scaling
 from plyscope.operators.density import core_flags, density_clusters
 from plyscope.operators.players import fold_sides
-from plyscope.operators.metrics import score_row
 from plyscope.plans.analysis import summary_record
 from plyscope.schema import STYLE_FEATURES
 from plyscope.session import scratch_path
 from verification import tables
 from verification.queries_games import games
+from verification.queries_models import compared_models
 from verification.registry import query
 from verification.tables import features, labelled, points, stored, stored_players
 
@@ -450,13 +450,12 @@ def _(spark, sf):
 
 @query("R23_summary_record")
 def _(spark, sf):
-    df, stats, names = named(spark, sf)
-    g = games(spark, sf)
-    scores = score_row(g, "white_skill_tier", "black_skill_tier").select(
-        F.lit("tier pairs").alias("model_type"), F.col("accuracy").alias("test_accuracy"), "adjacent_accuracy", "macro_f1"
-    )
-    quality = df.agg(
-        F.lit("given").alias("method"), F.countDistinct("cluster").alias("n_clusters"), F.lit(0.0).alias("silhouette_score")
-    )
-    summary = summary_record(g, features(spark, sf), df, scores, quality, names, "order lines")
+    # the fitted classifiers and the fitted clustering, as the whole analysis reports them
+    rows, _ = compared_models(spark, sf)
+    best = rows.join(classifiers.best_model(rows).select("model_type"), "model_type")
+    points_, kept, reduction = style_map(spark, sf)
+    placed = clustered(spark, sf).labelled
+    quality = clusters.compare_methods(points_, methods=("kmeans",), explained=sum(reduction.explained))
+    names = profiles.name_clusters(profiles.cluster_statistics(placed, kept))
+    summary = summary_record(games(spark, sf), features(spark, sf), stored_players(spark, sf), best, quality, names, "order lines")
     return summary.select(F.to_json(F.struct("*")).alias("summary"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plyscope.functions.numbers import hash_fraction
-from plyscope.operators import classifiers, metrics, players as player_ops, reports, scaling, split
+from plyscope.operators import approaches, classifiers, metrics, players as player_ops, reports, scaling, split
 from plyscope.operators.oversample import oversample
 from plyscope.schema import TIERS
 from plyscope.session import scratch_path
@@ -120,7 +120,7 @@ def table_and_columns(spark, sf):
     return df, [c for c in ALL if c in df.columns]
 
 
-def _compared(spark, sf):
+def compared_models(spark, sf):
     """The comparison of all kinds of models, and the results by kind."""
     return tables.once(spark, sf, "models", lambda: classifiers.compare_models(*table_and_columns(spark, sf)))
 
@@ -128,7 +128,7 @@ def _compared(spark, sf):
 def _train(spark, sf, kind):
     if kind == classifiers.FOREST:  # alone it needs no boosted trees
         return tables.once(spark, sf, kind, lambda: classifiers.train_classifier(*table_and_columns(spark, sf), kind))
-    return _compared(spark, sf)[1][kind]
+    return compared_models(spark, sf)[1][kind]
 
 
 @query("C05_random_forest")
@@ -285,7 +285,7 @@ def _(spark, sf):
 
 @query("C20_model_comparison")
 def _(spark, sf):
-    rows, _ = _compared(spark, sf)
+    rows, _ = compared_models(spark, sf)
     best = classifiers.best_model(rows).select("model_type", F.lit(True).alias("best"))
     return rows.join(best, "model_type", "left").na.fill(False, subset=["best"])
 
@@ -330,17 +330,49 @@ def _(spark, sf):
 
 
 @query(
-    "R15_top_importances",
+    "R15_spread_ranking",
     f"""SELECT feature, CASE feature {' '.join(f"WHEN '{c}' THEN '{c.replace('_', ' ').title()}'" for c in BASE)} END AS label, importance FROM (
           {' UNION ALL '.join(f"SELECT '{c}' AS feature, coalesce(stddev_pop({c}) / nullif(avg({c}), 0), 0) AS importance FROM players" for c in BASE)})
         ORDER BY importance DESC, feature LIMIT 10""",
     d="importance",
 )
 def _(spark, sf):
-    # relative spread of each feature, standing in for a fitted importance
+    # the same ranking and labels over a figure that SQL can compute: the relative spread of each feature
     spread = tables.players(spark, sf).agg(
         *[F.coalesce(F.stddev_pop(c) / F.nullif(F.avg(c), F.lit(0.0)), F.lit(0.0)).alias(c) for c in BASE]
     )
     entries = [F.struct(F.lit(f"white_{c}").alias("feature"), F.col(c).alias("importance")) for c in BASE]
     top = reports.top_importances(spread.select(F.inline(F.array(*entries))), 10)
     return top.withColumn("feature", F.regexp_replace("feature", "^white_", ""))
+
+
+@query("R15_top_importances")
+def _(spark, sf):
+    return reports.top_importances(_train(spark, sf, classifiers.ENSEMBLE).model.importances(spark))
+
+
+@query(
+    "C21_split_by_player",
+    f"""WITH sized AS (SELECT player, label, total AS n FROM (
+            SELECT player, label, n, sum(n) OVER (PARTITION BY player) AS total FROM (
+              SELECT player, game_tier AS label, count(*) AS n FROM seats WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _plain)} GROUP BY 1, 2))
+            QUALIFY row_number() OVER (PARTITION BY player ORDER BY n DESC, label) = 1),
+          dealt AS (SELECT *, sum(n) OVER (PARTITION BY label) AS rows,
+              coalesce(sum(n) OVER (PARTITION BY label ORDER BY md5('42|' || player), player ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin FROM sized)
+        SELECT player, n, CASE WHEN begin < rows * CAST(0.7 AS DOUBLE) THEN 'train' WHEN begin < rows * CAST(0.85 AS DOUBLE) THEN 'val' ELSE 'test' END AS fold FROM dealt""",
+    i="n",
+)
+def _(spark, sf):
+    rows, _ = player_ops.game_level_rows(features(spark, sf, white_only_pace=False), both_sides=True)
+    split = approaches.grouped_split(rows)
+    return split.groupBy("player", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("C21_approach_comparison")
+def _(spark, sf):
+    return approaches.compare_approaches(tables.stored(features(spark, sf, white_only_pace=False), "features"))
+
+
+@query("A12_scored_sweep")
+def _(spark, sf):
+    return approaches.scored_sweep(tables.stored(features(spark, sf), "features"), (25, 30, 33))
