@@ -7,13 +7,14 @@ from functools import reduce
 from operator import and_
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
+from pyspark.ml.clustering import BisectingKMeans, GaussianMixture
 from pyspark.ml.feature import PCA, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plyscope.operators.density import NOISE, density_clusters
 from plyscope.operators.indices import all_indices, inertia, silhouette, silhouette_squared
+from plyscope.operators.multistart import Run, best_runs
 from plyscope.operators.scaling import fit_scaler, without_outliers
 from plyscope.schema import K_RANGE, SEED
 from plyscope.session import cut_lineage
@@ -89,16 +90,21 @@ class Clustering:
         )
 
 
-def _best_kmeans(vectors: DataFrame, k: int, seed: int, restarts: int, weight: str | None = None):
-    best = None
-    for i in range(restarts):
-        estimator = KMeans(k=k, seed=seed + i, featuresCol="_v", predictionCol="cluster")
-        if weight:
-            estimator = estimator.setWeightCol(weight)
-        model = estimator.fit(vectors)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+def center_model(coords: list[str], centers: list[list[float]]) -> PipelineModel:
+    """A model that appends the nearest centre as ``cluster``, NULL for an unknown coordinate; it is saved like any other."""
+    options = []
+    for i, center in enumerate(centers):
+        squares = " + ".join(f"(`{c}` - CAST({v!r} AS DOUBLE)) * (`{c}` - CAST({v!r} AS DOUBLE))" for c, v in zip(coords, center, strict=True))
+        options.append(f"struct({squares} AS d, {i} AS i)")
+    known = " AND ".join(f"`{c}` IS NOT NULL" for c in coords)
+    text = f"CASE WHEN {known} THEN array_min(array({', '.join(options)})).i END" if options else "CAST(NULL AS INT)"
+    return PipelineModel([SQLTransformer(statement=f"SELECT *, {text} AS cluster FROM __THIS__")])
+
+
+def _by_centers(method: str, points: DataFrame, coords: list[str], run: Run) -> Clustering:
+    centers = [[float(v) for v in c] for c in run.centers]
+    model = center_model(coords, centers)
+    return Clustering(method, model.transform(points.drop("cluster")), model, centers)
 
 
 def cluster(
@@ -124,23 +130,19 @@ def cluster(
             raise ValueError("density clustering works on two coordinates")
         found = density_clusters(points, eps, min_points, key, *coords).drop("core")
         return Clustering(method, found, None, None)
+    if method == "kmeans":
+        return _by_centers(method, points, coords, best_runs(points, coords, [k], seed, restarts)[k])
+    if method == "birch":
+        features = micro_clusters(points, coords, cell_width)
+        return _by_centers(method, points, coords, best_runs(features, coords, [k], seed, restarts, "n")[k])
     assembler = VectorAssembler(inputCols=coords, outputCol="_v")
     vectors = assembler.transform(points)
-    if method == "kmeans":
-        features = vectors.select("_v").persist()
-        model = _best_kmeans(features, k, seed, restarts)
-        features.unpersist()
-    elif method == "hierarchical":
+    if method == "hierarchical":
         model = BisectingKMeans(k=k, seed=seed, featuresCol="_v", predictionCol="cluster").fit(vectors)
     elif method == "gmm":
         model = GaussianMixture(
             k=k, seed=seed, featuresCol="_v", predictionCol="cluster", probabilityCol="_prob"
         ).fit(vectors)
-    elif method == "birch":
-        features = assembler.transform(micro_clusters(points, coords, cell_width))
-        weighted = features.select("_v", F.col("n").cast("double").alias("n")).persist()
-        model = _best_kmeans(weighted, k, seed, restarts, "n")
-        weighted.unpersist()
     else:
         raise ValueError(f"unknown clustering method: {method}")
     if method == "gmm":
@@ -154,10 +156,11 @@ def cluster(
 def sweep_k(
     points: DataFrame, coords: list[str], k_range=K_RANGE, seed: int = SEED, restarts: int = RESTARTS, squared: bool = True
 ) -> DataFrame:
-    """Inertia and indices for each k, both ends of the range included."""
+    """Inertia and indices for each k, both ends of the range included; all runs of all k share their passes."""
     rows = None
-    for k in range(k_range[0], k_range[1] + 1):
-        result = cluster(points, "kmeans", k, coords, seed=seed, restarts=restarts)
+    runs = best_runs(points, coords, range(k_range[0], k_range[1] + 1), seed, restarts)
+    for k, run in runs.items():
+        result = _by_centers("kmeans", points, coords, run)
         labelled = cut_lineage(result.labelled.select(*coords, "cluster"))
         one = all_indices(labelled, coords, squared=squared).select(
             F.lit(k).alias("k"), inertia(labelled, coords).scalar().alias("inertia"), "*"
@@ -230,10 +233,10 @@ def silhouette_grid(
     }
     rows = None
     for space, (points, coords) in spaces.items():
+        points = cut_lineage(points.select(*coords))
         for method in methods:
-            for k in ks:
-                labelled = cluster(points, method, k, coords, **options).labelled
-                labelled = cut_lineage(labelled.select(*coords, "cluster"))
+            for k, result in _for_each_k(points, method, ks, coords, **options):
+                labelled = cut_lineage(result.labelled.select(*coords, "cluster"))
                 score = (silhouette_squared if squared else silhouette)(labelled, coords)
                 one = score.select(
                     F.lit(space).alias("space"), F.lit(method).alias("method"), F.lit(k).alias("k"),
@@ -243,6 +246,15 @@ def silhouette_grid(
     return rows
 
 
+def _for_each_k(points: DataFrame, method: str, ks, coords: list[str], seed: int = SEED, restarts: int = RESTARTS, cell_width: float = 0.5, **options):
+    """(k, clustering); methods by centres fit all k in the same passes."""
+    if method in ("kmeans", "birch"):
+        fitted = points if method == "kmeans" else micro_clusters(points, coords, cell_width)
+        runs = best_runs(fitted, coords, ks, seed, restarts, None if method == "kmeans" else "n")
+        return [(k, _by_centers(method, points, coords, runs[k])) for k in runs]
+    return [(k, cluster(points, method, k, coords, seed=seed, restarts=restarts, cell_width=cell_width, **options)) for k in ks]
+
+
 def dominant_control(sides: DataFrame) -> DataFrame:
     """Most frequent time control of each player, ties to the first name."""
     return sides.where("player is not null").groupBy("player").agg(
