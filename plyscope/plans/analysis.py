@@ -13,6 +13,7 @@ from plyscope.operators.players import dashboard_profiles, folded_feature_names,
 from plyscope.operators.profiling import dataset_stats
 from plyscope.schema import MIN_GAMES, STYLE_FEATURES
 from plyscope.sources import tables
+from plyscope.sources.stages import StageCache
 
 MAIN_METHOD = "kmeans"
 MAIN_K = 3
@@ -98,14 +99,17 @@ def analyse(
     """Run everything and store every result below ``out``.
 
     Stage tables are written once and read back, so a later stage never recomputes an
-    earlier one and a lost executor costs one task. ``squared_silhouette=False`` asks for the
+    earlier one and a lost executor costs one task. Features and profiles are stages of a cache below ``out`` that knows
+    the files they come from: a run over the same games reuses them, changed games or options make new ones. ``squared_silhouette=False`` asks for the
     Euclidean index, which compares all pairs of players.
     """
     usable = with_clock_data(full_games)
-    features = tables.materialise(lambda: game_features(usable, positions), spark, f"{out}/game_features", force)
-    players = tables.materialise(
-        lambda: player_profiles(features, min_games), spark, f"{out}/player_profiles", force
-    )
+    cache = StageCache(spark, f"{out}/stages")
+    given = [full_games] if positions is None else [full_games, positions]
+    sources = [d for d in given if d.inputFiles()]
+    anew = force or len(sources) < len(given)  # tables that lie in no file are not known again
+    features = cache.table("game_features", lambda: game_features(usable, positions), sources, force=anew)
+    players = cache.table("player_profiles", lambda: player_profiles(features, min_games), [features], {"min_games": min_games}, force)
     columns = profile_features(folded_feature_names(features))
     comparison, results = classifiers.compare_models(players, columns, kinds, **fit_options)
     comparison = tables.materialise(comparison, spark, f"{out}/model_comparison", True)

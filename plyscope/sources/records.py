@@ -1,8 +1,15 @@
 """Game-record text -> full games.
 
-A record is a block of header tags, a blank line and the move text with clock comments.
-The reader splits the files at record starts, so large files are read in parallel, and
-every field is a column expression over the record's text.
+A record is a block of header tags and the move text with clock comments. Files with either
+line ending, a byte order mark, or several records without blank lines between are read.
+The reader splits the files at record starts, wherever file splits fall, so large files are
+read in parallel, and every field is a column expression over the record's text.
+
+Only the main line counts: side lines in parentheses, nested to any depth, go with their
+comments and clocks. A clock belongs to the move before it; a move without one has NULL in
+its place, and a game without any has empty clock arrays. Comments may hold parentheses and
+semicolons; a semicolon elsewhere, and a line that begins with a per cent sign, hide the rest
+of the line. A line that begins with the Event tag starts a record, even inside a comment.
 """
 
 from __future__ import annotations
@@ -12,17 +19,22 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from plyscope.functions.tiers import base_seconds, tier_of, time_control_category
 
 # The formats of a record.
-SEPARATOR = "\n\n[Event "
-CLOCK = r"\[%clk\s+(\d+:\d{1,2}:\d{1,2}(?:\.\d+)?)\]"
+START = "[Event "
+CLOCK = r"\{[^}]*?\[%clk\s+(\d+:\d{1,2}:\d{1,2}(?:\.\d+)?)\][^}]*\}"
 COMMENT = r"\{[^}]*\}"
-VARIATION = r"\([^()]*\)"
+LINE_COMMENT = r"(\{[^}]*\})|;[^\n]*|(?m:^%[^\n]*)"
+HEADER = r"(?s)^(?:\s*\[[^\n]*\][ \t]*(?:\n|$))*"
 NUMBER_PREFIX = r"^\d+\.+"
 ENDINGS = ("1-0", "0-1", "1/2-1/2", "*")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """One row ``value`` per record."""
-    return spark.read.option("lineSep", SEPARATOR).text(path).where(F.length(F.trim("value")) > 0)
+    """One row ``value`` per record, with plain line feeds and its whole header."""
+    rows = spark.read.option("lineSep", "\n" + START).text(path)
+    plain = F.regexp_replace(F.regexp_replace("value", "\r\n?", "\n"), "^[\ufeff\\s]+", "")
+    whole = F.when(plain.startswith("["), plain).otherwise(F.concat(F.lit(START), plain))
+    rest = [c for c in rows.columns if c != "value"]
+    return rows.where(F.length(plain) > 0).select(whole.alias("value"), *rest)
 
 
 def tag(name: str) -> Column:
@@ -37,16 +49,31 @@ def clock_seconds(text: Column) -> Column:
 
 
 def move_text() -> Column:
-    """What follows the last header line."""
-    return F.regexp_replace("value", r"(?s)^.*\]\s*\n\s*\n", "")
+    """What follows the header lines."""
+    return F.regexp_replace("value", HEADER, "")
+
+
+def main_line(text: Column) -> Column:
+    """Words of the main line: moves without numbers, and clocks as ``@H:MM:SS``."""
+    text = F.regexp_replace(text, LINE_COMMENT, "$1")
+    text = F.regexp_replace(F.regexp_replace(text, CLOCK, " @$1 "), COMMENT, " ")
+    words = F.split(F.trim(F.regexp_replace(text, r"([()])", " $1 ")), r"\s+")
+
+    def step(state: Column, word: Column) -> Column:
+        depth = state["depth"] + F.when(word == "(", 1).when((word == ")") & (state["depth"] > 0), -1).otherwise(0)
+        outside = (state["depth"] == 0) & ~word.isin("(", ")")
+        kept = F.when(outside, F.array_append(state["kept"], word)).otherwise(state["kept"])
+        return F.struct(depth.cast("int").alias("depth"), kept.alias("kept"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
+    # only records with side lines need their words told apart by depth
+    flat = F.when(text.contains("(") | text.contains(")"), F.aggregate(words, start, step, lambda s: s["kept"])).otherwise(words)
+    bare = F.transform(flat, lambda w: F.regexp_replace(w, NUMBER_PREFIX, ""))
+    return F.filter(bare, lambda w: (w != "") & ~w.isin(*ENDINGS) & ~w.startswith("$"))
 
 
-def sans_of(text: Column) -> Column:
-    """Move strings without numbers, comments, side lines, glyphs and the result."""
-    plain = F.regexp_replace(F.regexp_replace(text, COMMENT, " "), VARIATION, " ")
-    words = F.split(F.trim(plain), r"\s+")
-    bare = F.transform(words, lambda w: F.regexp_replace(w, NUMBER_PREFIX, ""))
-    return F.filter(bare, lambda w: (w != "") & ~w.isin(*ENDINGS) & ~w.startswith("$"))
+def is_clock(word: Column) -> Column:
+    return word.startswith("@")
 
 
 def every_second(values: Column, start: int) -> Column:
@@ -58,13 +85,20 @@ def parse_records(records: DataFrame, extra_tags=()) -> DataFrame:
 
     ``extra_tags`` adds further header tags as lower-case columns.
     """
-    df = records.withColumn("_moves", move_text())
+    df = records.withColumn("_words", main_line(move_text()))
+    shown = F.transform(
+        "_words",
+        lambda w, i: F.struct(
+            w.alias("san"),
+            F.when(is_clock(F.get("_words", i + 1)), clock_seconds(F.substring(F.get("_words", i + 1), 2, 20))).alias("clock"),
+        ),
+    )
+    df = df.withColumn("_shown", F.filter(shown, lambda m: ~is_clock(m["san"])))
+    timed = F.exists("_shown.clock", lambda t: t.isNotNull())
     df = df.withColumns(
         {
-            "_sans": sans_of(F.col("_moves")),
-            "_clocks": F.transform(
-                F.regexp_extract_all("_moves", F.lit(CLOCK), F.lit(1)), clock_seconds
-            ),
+            "_sans": F.col("_shown.san"),
+            "_clocks": F.when(timed, F.col("_shown.clock")).otherwise(F.array().cast("array<double>")),
             "white_elo": tag("WhiteElo").try_cast("int"),
             "black_elo": tag("BlackElo").try_cast("int"),
             "time_control": tag("TimeControl"),

@@ -13,7 +13,7 @@ from plyscope.operators import metrics, profiling, reports
 from plyscope.plans.analysis import tier_phase_heatmap
 from plyscope.schema import CLOCK_FEATURES, CONTROL_FLAGS, GAMES, GAMES_FULL, PHASES
 from plyscope.session import scratch_path
-from plyscope.sources import records, tables
+from plyscope.sources import records, stages, tables
 from verification import views
 from verification.registry import query
 from verification.tables import features, games, plies, points
@@ -89,13 +89,14 @@ _SLICE_TYPES = {"d": "white_avg_time_opening black_time_variance_endgame", "i":
 
 @query("S06_stage_cache", f"SELECT {_FEATURE_SLICE} FROM feats", **_SLICE_TYPES)
 def _(spark, sf):
-    path = scratch_path(spark, "stage")
-    tables.materialise(lambda: features(spark, sf), spark, path)
+    cache = stages.StageCache(spark, scratch_path(spark, "stages"))
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    cache.table("features", lambda: features(spark, sf), [lines], {"quality": False})
 
     def unused():
         raise AssertionError("a stored stage must not be rebuilt")
 
-    return tables.materialise(unused, spark, path).select(*_FEATURE_SLICE.split(", "))
+    return cache.table("features", unused, [lines], {"quality": False}).select(*_FEATURE_SLICE.split(", "))
 
 
 @query("S07_parquet_sink", f"SELECT {_FEATURE_SLICE} FROM feats", **_SLICE_TYPES)
