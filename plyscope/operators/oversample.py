@@ -13,8 +13,15 @@ from plyscope.functions.numbers import hash_fraction
 from plyscope.operators.indices import block_distances
 from plyscope.operators.ranking import md5_row_number
 from plyscope.schema import SEED
+from plyscope.session import cut_lineage
 
 TILE_ROWS = 2048
+PIVOTS = 6
+
+
+def tile_count(rows: int, tile_rows: int = TILE_ROWS) -> int:
+    """Tiles of a class; larger classes have larger tiles, so that their number grows with the root of the rows."""
+    return max(1, math.ceil(rows / max(tile_rows, 2 * math.isqrt(rows))))
 
 
 def nearest_in_class(
@@ -29,68 +36,168 @@ def nearest_in_class(
 ) -> DataFrame:
     """Exact k nearest rows of the same class: ``key``, ``neighbours`` (keys, nearest first).
 
-    Both sides are cut into hash tiles of about ``tile_rows`` rows. A pair of tiles of one
-    class is a bounded numpy block that returns k candidates per query row, and the best k
-    of those are the answer. Ties go to the smaller key.
+    Rows lie in tiles around pivots, a hash sample of their class; what exceeds a tile's size is dealt to further
+    tiles by hash. A tile has a bounding ball. The queries of a tile first meet the tiles of their own pivot, which
+    bounds the distance of their k-th neighbour; after that they meet only tiles whose balls reach into that bound, and
+    within such a pair only the queries that the ball can concern. A pair of tiles is a bounded numpy block that
+    returns k candidates per query row, and the best k of those are the answer. Ties go to the smaller key.
     """
-    tiles = F.element_at(
-        F.create_map(
-            *[F.lit(x) for c, n in class_sizes.items() for x in (c, max(1, math.ceil(n / tile_rows)))]
-        ),
-        F.col(label),
-    )
+    tiles = {c: tile_count(n, tile_rows) for c, n in class_sizes.items()}
+    left, right = placed_tiles(queries, rows, columns, label, key, class_sizes, tiles)
+    own = left.join(right, ["_class", "_cell"])
+    if max(tiles.values(), default=1) == 1:
+        return _best(_candidates(own, columns, k), k)
+    left, right = cut_lineage(left), cut_lineage(right)
+    near = _candidates(left.join(right, ["_class", "_cell"]), columns, k)
+    return _best(_candidates(tile_pairs(left, right, near, columns, k), columns, k), k)
+
+
+def placed_tiles(queries, rows, columns, label, key, class_sizes: dict, tiles: dict) -> tuple[DataFrame, DataFrame]:
+    """Query tiles and row tiles (class, cell, tile, keys, points), cells being those of the nearest pivot."""
+    point = F.array(*[F.col(c).cast("double") for c in columns])
+    spread = hash_fraction("pivot", F.col(key))
+    share = F.element_at(F.create_map(*[F.lit(x) for c, n in class_sizes.items() for x in (c, float(PIVOTS * tiles[c]) / n)]), F.col(label))
+    pivots: dict = {}
+    if max(tiles.values(), default=1) > 1:
+        # a few pivots for each tile, so that a ball holds what lies together; their number is of the order of the root
+        some = rows.where(F.col(label).isin([c for c, t in tiles.items() if t > 1]) & (spread < share))
+        for r in some.select(F.col(label).alias("c"), point.alias("p")).distinct().collect():
+            pivots.setdefault(r["c"], []).append(r["p"])
+    pivots = {c: np.array(sorted(p)) for c, p in pivots.items()}
+    width = len(columns)
+
+    def cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            x = np.array(frame["point"].tolist(), dtype=float).reshape(len(frame), width)
+            cell = np.zeros(len(frame), dtype=np.int64)
+            for c, centers in pivots.items():
+                at = np.flatnonzero((frame["_class"] == c).to_numpy())
+                for begin in range(0, len(at), 1024):
+                    part = at[begin : begin + 1024]
+                    cell[part] = block_distances(x[part], centers).argmin(axis=1)
+            yield frame.assign(_cell=cell)
 
-    def packed(df, prefix):
-        tile = F.pmod(F.xxhash64(F.col(key)), F.col("_tiles")).cast("int")
-        point = F.array(*[F.col(c).cast("double") for c in columns])
+    kind = rows.schema[label].dataType.simpleString()
+
+    def placed(df: DataFrame) -> DataFrame:
+        flat = df.select(F.col(label).alias("_class"), F.col(key).cast("string").alias("key"), point.alias("point"))
+        if not pivots:
+            return flat.withColumn("_cell", F.lit(0).cast("long"))
+        return flat.mapInPandas(cells, f"_class {kind}, key string, point array<double>, _cell long")
+
+    def packed(df: DataFrame, prefix: str) -> DataFrame:
+        placed_rows = cut_lineage(placed(df))
+        sizes = placed_rows.groupBy("_class", "_cell").agg(F.count(F.lit(1)).alias("_n"))
+        limit = F.element_at(
+            F.create_map(*[F.lit(x) for c, n in class_sizes.items() for x in (c, math.ceil(n / tiles[c]))]), F.col("_class")
+        )
+        part = F.pmod(F.xxhash64("key"), F.ceil(F.col("_n") / limit)).cast("int")
         return (
-            df.withColumn("_tiles", tiles)
-            .select(F.col(label).alias("_class"), "_tiles", tile.alias("_tile"), F.col(key).cast("string").alias("key"), point.alias("point"))
-            .groupBy("_class", "_tiles", "_tile")
+            placed_rows.join(sizes, ["_class", "_cell"])
+            .withColumn("_part", part)
+            .groupBy("_class", "_cell", "_part")
             .agg(F.collect_list(F.struct("key", "point")).alias("r"))
-            .select(
-                "_class",
-                "_tiles",
-                F.col("_tile").alias(f"{prefix}tile"),
-                F.col("r.key").alias(f"{prefix}key"),
-                F.flatten(F.col("r.point")).alias(f"{prefix}points"),
-            )
+            .select("_class", "_cell", F.col("_part").alias(f"{prefix}part"), F.col("r.key").alias(f"{prefix}key"), F.flatten("r.point").alias(f"{prefix}points"))
         )
 
-    left = packed(queries, "q_").withColumn("_tile", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1)))
-    right = packed(rows, "r_").withColumnRenamed("r_tile", "_tile").drop("_tiles")
-    pairs = left.join(right, ["_class", "_tile"]).select("q_key", "q_points", "r_key", "r_points")
+    return packed(queries, "q_"), packed(rows, "r_")
+
+
+def _candidates(pairs: DataFrame, columns: list[str], k: int) -> DataFrame:
+    """(key, neighbour, distance): the k best of every pair of tiles for each of its queries."""
     width = len(columns)
+    bounded = "q_bounds" in pairs.columns
 
     def candidates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples(index=False):
                 a = np.asarray(row.q_points, dtype=float).reshape(-1, width)
                 b = np.asarray(row.r_points, dtype=float).reshape(-1, width)
-                ids = np.asarray(row.r_key)
+                ids, names = np.asarray(row.r_key), np.asarray(row.q_key)
+                if bounded:
+                    center = b.mean(axis=0)
+                    radius = np.sqrt(((b - center) ** 2).sum(axis=1)).max()
+                    reach = np.sqrt(((a - center) ** 2).sum(axis=1)) - radius
+                    some = reach <= np.asarray(row.q_bounds) * (1 + 1e-9) + 1e-9
+                    a, names = a[some], names[some]
+                    if not len(a):
+                        continue
                 by_id = np.argsort(ids, kind="stable")
                 gaps = block_distances(a, b[by_id])
                 best = np.argsort(gaps, axis=1, kind="stable")[:, : k + 1]
                 yield pd.DataFrame(
                     {
-                        "key": np.repeat(np.asarray(row.q_key), best.shape[1]),
+                        "key": np.repeat(names, best.shape[1]),
                         "neighbour": ids[by_id][best].ravel(),
                         "distance": np.take_along_axis(gaps, best, axis=1).ravel(),
                     }
                 )
 
-    found = pairs.mapInPandas(candidates, "key string, neighbour string, distance double")
+    return pairs.mapInPandas(candidates, "key string, neighbour string, distance double")
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("key").orderBy("distance", "neighbour")
+    return found.where(F.col("key") != F.col("neighbour")).withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k)
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
     return (
-        found.where(F.col("key") != F.col("neighbour"))
-        .withColumn("_r", F.row_number().over(order))
-        .where(F.col("_r") <= k)
+        _ranked(found, k)
         .groupBy("key")
         .agg(F.array_sort(F.collect_list(F.struct("_r", "neighbour"))).alias("n"))
         .select("key", F.col("n.neighbour").alias("neighbours"))
     )
 
 
+def tile_pairs(left: DataFrame, right: DataFrame, near: DataFrame, columns: list[str], k: int) -> DataFrame:
+    """The pairs of tiles that can hold a k-th neighbour, with the bound of each query in ``q_bounds``.
+
+    The balls of the row tiles, whose number grows with the root of the rows, are known to every task.
+    """
+    width = len(columns)
+    numbered = right.withColumn("_tile", F.concat_ws("|", "_cell", "r_part"))
+    balls: dict = {}
+
+    def ball(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                x = np.asarray(row.r_points, dtype=float).reshape(-1, width)
+                center = x.mean(axis=0)
+                yield pd.DataFrame({"c": [row.c], "t": [row.t], "center": [center], "radius": [np.sqrt(((x - center) ** 2).sum(axis=1)).max()]})
+
+    kind = right.schema["_class"].dataType.simpleString()
+    known = numbered.select(F.col("_class").alias("c"), F.col("_tile").alias("t"), "r_points")
+    for r in known.mapInPandas(ball, f"c {kind}, t string, center array<double>, radius double").collect():
+        balls.setdefault(r["c"], []).append((r["t"], r["center"], r["radius"]))
+    # a query with fewer than k neighbours so far has no bound
+    bound = F.when(F.count(F.lit(1)) >= k, F.max("distance")).otherwise(F.lit(float("inf"))).alias("bound")
+    bounds = _ranked(near, k).groupBy("key").agg(bound)
+    names = left.select("_class", "_cell", "q_part", F.posexplode("q_key").alias("at", "key")).join(bounds, "key", "left")
+    told = names.groupBy("_class", "_cell", "q_part").agg(
+        F.array_sort(F.collect_list(F.struct("at", F.coalesce("bound", F.lit(float("inf"))).alias("b")))).alias("q_bounds")
+    )
+    asked = left.join(told.withColumn("q_bounds", F.col("q_bounds.b")), ["_class", "_cell", "q_part"])
+
+    def reach(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            lists = []
+            for row in frame.itertuples(index=False):
+                x = np.asarray(row.q_points, dtype=float).reshape(-1, width)
+                there = balls.get(row.c, [])
+                centers, radii = np.array([b[1] for b in there]), np.array([b[2] for b in there])
+                touched = np.zeros(len(there), dtype=bool)
+                for q, limit in zip(x, row.q_bounds, strict=True):
+                    touched |= np.sqrt(((centers - q) ** 2).sum(axis=1)) - radii <= limit * (1 + 1e-9) + 1e-9
+                lists.append([there[i][0] for i in np.flatnonzero(touched)])
+            yield frame.assign(tiles=lists)
+
+    fields = f"c {kind}, q_key array<string>, q_points array<double>, q_bounds array<double>"
+    reached = asked.select(F.col("_class").alias("c"), "q_key", "q_points", "q_bounds").mapInPandas(reach, f"{fields}, tiles array<string>")
+    pairs = reached.withColumn("_tile", F.explode("tiles")).withColumnRenamed("c", "_class").drop("tiles")
+    return pairs.join(numbered.select("_class", "_tile", "r_key", "r_points"), ["_class", "_tile"])
+
+
 def oversample(
     df: DataFrame,
     columns: list[str],

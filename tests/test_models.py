@@ -78,6 +78,30 @@ def test_nearest_in_class_is_exact(spark):
         assert got[key] == [k for _, k in others[:4]]
 
 
+def test_far_tiles_are_never_compared(spark):
+    """On clustered rows the compared pairs grow far slower than the square, and the answer stays exact."""
+    from plyscope.operators import oversample as o
+
+    rng = np.random.default_rng(8)
+    shares = []
+    for n in (400, 1600):
+        at = rng.integers(0, 12, n)
+        x = rng.standard_normal((12, 3))[at] * 40 + rng.standard_normal((n, 3))
+        df = spark.createDataFrame([(f"k{i:05}", "a", *map(float, v)) for i, v in enumerate(x)], "player string, label string, f0 double, f1 double, f2 double")
+        got = {r["key"]: r["neighbours"] for r in nearest_in_class(df, df, FEATURES, "label", "player", {"a": n}, k=3, tile_rows=20).collect()}
+        gaps = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+        np.fill_diagonal(gaps, np.inf)
+        for i in range(0, n, 7):
+            order = sorted(range(n), key=lambda j: (gaps[i, j], j))[:3]
+            assert got[f"k{i:05}"] == [f"k{j:05}" for j in order]
+        left, right = o.placed_tiles(df, df, FEATURES, "label", "player", {"a": n}, {"a": o.tile_count(n, 20)})
+        near = o._candidates(left.join(right, ["_class", "_cell"]), FEATURES, 3)
+        pairs = o.tile_pairs(left, right, near, FEATURES, 3)
+        compared = pairs.select(F.sum(F.size("q_key") * F.size("r_key"))).first()[0]
+        shares.append(compared / n**2)
+    assert shares[0] < 0.5 and shares[1] < 0.7 * shares[0], shares
+
+
 def test_oversampling_balances(spark):
     rows, df = class_rows(spark, {"a": 40, "b": 13, "c": 7})
     out = oversample(df, FEATURES)
