@@ -6,14 +6,16 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
 
+import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import BisectingKMeans, GaussianMixture
+from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.feature import PCA, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plyscope.operators.density import NOISE, density_clusters
 from plyscope.operators.indices import all_indices, inertia, silhouette, silhouette_squared
+from plyscope.operators import microclusters
 from plyscope.operators.multistart import Run, best_runs
 from plyscope.operators.scaling import fit_scaler, without_outliers
 from plyscope.schema import K_RANGE, SEED
@@ -118,11 +120,13 @@ def cluster(
     eps: float = 0.5,
     min_points: int = 5,
     cell_width: float = 0.5,
+    most_cells: int = microclusters.MOST_CELLS,
 ) -> Clustering:
-    """Append ``cluster``. Methods without a distributed form of their own are re-aimed:
+    """Append ``cluster``.
 
-    ``hierarchical`` splits top-down (bisecting k-means) and ``birch`` runs weighted
-    k-means over grid micro-clusters instead of a tree.
+    ``hierarchical`` merges bottom-up by Ward's rule and ``birch`` runs weighted k-means, both over clustering features
+    in adaptive cells: as many as the data need for the radius ``cell_width`` (hierarchical: for single points), but at
+    most ``most_cells``. Fewer distinct points than that are clustered exactly by the hierarchy.
     """
     coords = coords or ["x", "y"]
     if method == "dbscan":
@@ -133,26 +137,36 @@ def cluster(
     if method == "kmeans":
         return _by_centers(method, points, coords, best_runs(points, coords, [k], seed, restarts)[k])
     if method == "birch":
-        features = micro_clusters(points, coords, cell_width)
+        cells = microclusters.adaptive_cells(points, coords, most_cells, cell_width)
+        features = microclusters.features(cells, points.sparkSession, coords)
         return _by_centers(method, points, coords, best_runs(features, coords, [k], seed, restarts, "n")[k])
-    assembler = VectorAssembler(inputCols=coords, outputCol="_v")
-    vectors = assembler.transform(points)
     if method == "hierarchical":
-        model = BisectingKMeans(k=k, seed=seed, featuresCol="_v", predictionCol="cluster").fit(vectors)
-    elif method == "gmm":
-        model = GaussianMixture(
-            k=k, seed=seed, featuresCol="_v", predictionCol="cluster", probabilityCol="_prob"
-        ).fit(vectors)
-    else:
+        return Clustering(method, hierarchical(points, coords, k, most_cells), None, None)
+    if method != "gmm":
         raise ValueError(f"unknown clustering method: {method}")
-    if method == "gmm":
-        centers = [list(map(float, g.mean.toArray())) for g in model.gaussians]
-    else:
-        centers = [list(map(float, c)) for c in model.clusterCenters()]
+    assembler = VectorAssembler(inputCols=coords, outputCol="_v")
+    vectors = assembler.transform(points)
+    model = GaussianMixture(k=k, seed=seed, featuresCol="_v", predictionCol="cluster", probabilityCol="_prob").fit(vectors)
+    centers = [list(map(float, g.mean.toArray())) for g in model.gaussians]
     labelled = model.transform(vectors).select(*points.columns, F.col("cluster").cast("int").alias("cluster"))
     return Clustering(method, labelled, PipelineModel([assembler, model]), centers)
 
 
+def hierarchical(points: DataFrame, coords: list[str], k: int, most_cells: int = microclusters.MOST_CELLS) -> DataFrame:
+    """Append ``cluster``: Ward's hierarchy, cut at k clusters, over at most ``most_cells`` clustering features."""
+    cells = microclusters.adaptive_cells(points, coords, most_cells)
+    leaves = cells.leaves()
+    held = [at for at, i in enumerate(leaves) if cells.n[i] > 0]
+    if not held:
+        return points.withColumn("cluster", F.lit(None).cast("int"))
+    means = np.array([cells.sums[leaves[at]] / cells.n[leaves[at]] for at in held])
+    labels = microclusters.cut_tree(len(held), microclusters.ward(means, np.array([cells.n[leaves[at]] for at in held])), k)
+    by_leaf = [-1] * len(leaves)
+    for at, label in zip(held, labels, strict=True):
+        by_leaf[at] = label
+    return points.drop("cluster").withColumn("cluster", cells.column(coords, by_leaf))
+
+
 def sweep_k(
     points: DataFrame, coords: list[str], k_range=K_RANGE, seed: int = SEED, restarts: int = RESTARTS, squared: bool = True
 ) -> DataFrame:
@@ -246,13 +260,15 @@ def silhouette_grid(
     return rows
 
 
-def _for_each_k(points: DataFrame, method: str, ks, coords: list[str], seed: int = SEED, restarts: int = RESTARTS, cell_width: float = 0.5, **options):
+def _for_each_k(points: DataFrame, method: str, ks, coords: list[str], seed: int = SEED, restarts: int = RESTARTS, cell_width: float = 0.5, most_cells: int = microclusters.MOST_CELLS, **options):
     """(k, clustering); methods by centres fit all k in the same passes."""
     if method in ("kmeans", "birch"):
-        fitted = points if method == "kmeans" else micro_clusters(points, coords, cell_width)
+        fitted = points
+        if method == "birch":
+            fitted = microclusters.features(microclusters.adaptive_cells(points, coords, most_cells, cell_width), points.sparkSession, coords)
         runs = best_runs(fitted, coords, ks, seed, restarts, None if method == "kmeans" else "n")
         return [(k, _by_centers(method, points, coords, runs[k])) for k in runs]
-    return [(k, cluster(points, method, k, coords, seed=seed, restarts=restarts, cell_width=cell_width, **options)) for k in ks]
+    return [(k, cluster(points, method, k, coords, seed=seed, restarts=restarts, cell_width=cell_width, most_cells=most_cells, **options)) for k in ks]
 
 
 def dominant_control(sides: DataFrame) -> DataFrame:

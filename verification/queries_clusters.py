@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from plyscope.operators import classifiers, clusters, indices, profiles, reports, scaling
+from plyscope.operators import classifiers, clusters, indices, microclusters, profiles, reports, scaling
 from plyscope.operators.density import core_flags, density_clusters
 from plyscope.operators.players import fold_sides
 from plyscope.plans.analysis import summary_record
@@ -171,6 +171,19 @@ def _(spark, sf):
     return density_clusters(points(spark, sf), EPS, MIN_POINTS, "vec_id").select("vec_id", "cluster", "core")
 
 
+@query(
+    "K10_adaptive_cells",
+    "SELECT count(*) AS n, sum(x) AS sum_x, sum(y) AS sum_y, sum(x * x + y * y) AS sum_squares, true AS bounded FROM points",
+    d="sum_x sum_y sum_squares",
+    i="n",
+)
+def _(spark, sf):
+    cells = microclusters.adaptive_cells(points(spark, sf), XY, 100)
+    found = microclusters.features(cells, spark, XY)
+    sums = [F.sum(c).alias(c) for c in ("n", "sum_x", "sum_y", "sum_squares")]
+    return found.agg(*sums, (F.count(F.lit(1)) <= 100).alias("bounded"))
+
+
 @query(
     "K10_micro_clusters",
     """SELECT CAST(floor(x / CAST(0.05 AS DOUBLE)) AS BIGINT) AS cell_x, CAST(floor(y / CAST(0.05 AS DOUBLE)) AS BIGINT) AS cell_y, count(*) AS n,
