@@ -14,6 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plyscope.operators.density import NOISE, density_clusters
+from plyscope.operators.density_any import density_clusters_any
 from plyscope.operators.indices import all_indices, inertia, silhouette, silhouette_squared
 from plyscope.operators import microclusters
 from plyscope.operators.multistart import Run, best_runs
@@ -130,9 +131,11 @@ def cluster(
     """
     coords = coords or ["x", "y"]
     if method == "dbscan":
-        if len(coords) != 2:
-            raise ValueError("density clustering works on two coordinates")
-        found = density_clusters(points, eps, min_points, key, *coords).drop("core")
+        if len(coords) == 2:
+            found = density_clusters(points, eps, min_points, key, *coords)
+        else:
+            found = density_clusters_any(points, coords, eps, min_points, key)
+        found = found.drop("core")
         return Clustering(method, found, None, None)
     if method == "kmeans":
         return _by_centers(method, points, coords, best_runs(points, coords, [k], seed, restarts)[k])

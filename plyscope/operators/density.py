@@ -13,10 +13,10 @@ import math
 
 from pyspark.sql import DataFrame, functions as F
 
+from plyscope.operators.density_any import NOISE, with_labels
 from plyscope.operators.ranking import md5_row_number
 from plyscope.session import cut_lineage
 
-NOISE = -1
 # Each refinement step cuts a box into 4 x 4. A power of two keeps the box indices of
 # neighbouring levels exactly nested in floating point.
 REFINE_BITS = 2
@@ -224,16 +224,11 @@ def density_clusters(
     found = core_labels.select("x", "y", "cluster", F.lit(True).alias("core")).unionByName(
         border.select("x", "y", "cluster", F.lit(False).alias("core"))
     )
+    found = found.join(locations.select("x", "y", "copies"), ["x", "y"]).withColumnsRenamed({"x": "_x", "y": "_y"})
     keyed = points.drop("cluster", "core").withColumns(
         {"_x": F.col(x).cast("double"), "_y": F.col(y).cast("double")}
     )
-    found = found.withColumnsRenamed({"x": "_x", "y": "_y"})
-    return keyed.join(found, ["_x", "_y"], "left").withColumns(
-        {
-            "cluster": F.coalesce("cluster", F.lit(NOISE)).cast("int"),
-            "core": F.coalesce("core", F.lit(False)),
-        }
-    ).drop("_x", "_y")
+    return with_labels(keyed, cut_lineage(found), ["_x", "_y"]).drop("_x", "_y")
 
 
 def core_flags(

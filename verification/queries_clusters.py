@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plyscope.operators import classifiers, clusters, indices, microclusters, profiles, reports, scaling
 from plyscope.operators.density import core_flags, density_clusters
+from plyscope.operators.density_any import density_clusters_any
 from plyscope.operators.players import fold_sides
 from plyscope.plans.analysis import summary_record
 from plyscope.schema import STYLE_FEATURES
@@ -171,6 +172,30 @@ def _(spark, sf):
     return density_clusters(points(spark, sf), EPS, MIN_POINTS, "vec_id").select("vec_id", "cluster", "core")
 
 
+_XYZT = ("x", "y", "z", "t")
+_EPS4 = 0.12
+_NEAR4 = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _XYZT) + f" <= CAST({_EPS4 * _EPS4!r} AS DOUBLE)"
+
+
+@query(
+    "K08_density_clusters_4d",
+    f"""WITH RECURSIVE near AS MATERIALIZED (SELECT a.vec_id AS s, b.vec_id AS t FROM points a JOIN points b ON {_NEAR4}),
+        core AS MATERIALIZED (SELECT s AS vec_id FROM near GROUP BY s HAVING count(*) >= {MIN_POINTS}),
+        links AS MATERIALIZED (SELECT s, t FROM near WHERE s IN (SELECT vec_id FROM core) AND t IN (SELECT vec_id FROM core)),
+        reach AS (SELECT vec_id AS s, vec_id AS t FROM core UNION SELECT r.s, l.t FROM reach r JOIN links l ON r.t = l.s),
+        firsts AS (SELECT s AS vec_id, min(t) AS first FROM reach GROUP BY s),
+        numbers AS (SELECT first, row_number() OVER (ORDER BY md5(CAST(first AS VARCHAR))) - 1 AS cluster FROM (SELECT DISTINCT first FROM firsts)),
+        core_labels AS (SELECT vec_id, cluster FROM firsts JOIN numbers USING (first)),
+        edge_labels AS (SELECT n.s AS vec_id, min(c.cluster) AS cluster FROM near n JOIN core_labels c ON c.vec_id = n.t
+          WHERE n.s NOT IN (SELECT vec_id FROM core) GROUP BY 1)
+        SELECT p.vec_id, coalesce(c.cluster, e.cluster, -1) AS cluster, c.cluster IS NOT NULL AS core FROM points p
+        LEFT JOIN core_labels c USING (vec_id) LEFT JOIN edge_labels e USING (vec_id)""",
+    i="vec_id cluster",
+)
+def _(spark, sf):
+    return density_clusters_any(points(spark, sf), list(_XYZT), _EPS4, MIN_POINTS, "vec_id").select("vec_id", "cluster", "core")
+
+
 @query(
     "K10_adaptive_cells",
     "SELECT count(*) AS n, sum(x) AS sum_x, sum(y) AS sum_y, sum(x * x + y * y) AS sum_squares, true AS bounded FROM points",
