@@ -112,11 +112,16 @@ def cut(text: str, leaf: int) -> Iterator[tuple[str, bool]]:
             at = space
             continue
         # none there: match token by token
-        end = at
-        while end < to and (found := pattern.match(text, end)):
-            if found.end() - at > leaf and end > at:
+        # a piece must not end behind two tokens of white space, which are one token where nothing follows them
+        reached = end = at
+        space = False
+        while reached < to and (found := pattern.match(text, reached)):
+            if found.end() - at > leaf and reached > at:
                 break
-            end = found.end()
+            reached = found.end()
+            if not (space and text[found.start() : reached].isspace()):
+                end = reached
+            space = text[reached - 1].isspace()
         if end - at <= leaf:
             yield text[at:end], False
         else:

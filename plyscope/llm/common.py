@@ -132,7 +132,7 @@ def shingle_hashes(words: np.ndarray, rows: np.ndarray, size: int):
     total = np.zeros(len(words), dtype=np.uint64)
     valid = np.arange(len(words)) - begin[rows]
     last = n[rows] - valid
-    for k in range(size):
+    for k in range(min(size, len(words))):
         step = np.uint64(pow(_MULTIPLIER, k + 1, 1 << 64) | 1)
         part = words * step
         total[: len(words) - k] += np.where(last[: len(words) - k] > k, part[k:] if k else part, np.uint64(0))

@@ -276,10 +276,14 @@ def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", **option
     classes = near_duplicates(df, key, text, **options)
     chosen = classes.where((F.col("t") == F.col("class_t")) & F.col(key).eqNullSafe(F.col("class_id")))
     chosen = stored(chosen.groupBy("t", F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("rows")), "kept")
-    rows = df.withColumn("_t", F.unhex(F.md5(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))))
+    # the caller's columns go by numbers, so that none clashes with those made here
+    numbered = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)])
+    k, body = (F.col(f"c{df.columns.index(c)}") for c in (key, text))
+    rows = numbered.withColumns({"_t": F.unhex(F.md5(F.coalesce(body.cast("string"), F.lit("")))), "_k": k.cast("long")})
 
     def of(which: DataFrame) -> DataFrame:
-        return rows.join(which, (rows["_t"] == which["t"]) & rows[key].cast("long").eqNullSafe(which["_key"]), "left_semi")
+        return rows.join(which, (rows["_t"] == which["t"]) & rows["_k"].eqNullSafe(which["_key"]), "left_semi")
 
     repeated = of(chosen.where("rows > 1")).dropDuplicates(["_t"])
-    return of(chosen.where("rows = 1")).unionByName(repeated).drop("_t")
+    left = of(chosen.where("rows = 1")).unionByName(repeated)
+    return left.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)])

@@ -34,6 +34,8 @@ STRONGEST = 8
 LONGEST = 64
 #: Ordinary rows weigh so many times as much as toxic ones in the regression, all together.
 ORDINARY_WEIGHT = 4.5
+#: Weights of the regression are held to a normal distribution of variance 1, which matters where labels are few.
+RIDGE = 1.0
 CACHED_WORDS = 400_000
 THRESHOLD = 0.7
 CARRIERS = (b"it is said that  %b  %b ",)
@@ -125,7 +127,7 @@ def train(texts: list[bytes], toxic: np.ndarray) -> dict | None:
     sets = {int(i): windows(texts[i]) for w in where for i in w}
     counts = [Counter(w for i in side for w in texts[i].translate(_PLAIN).split()) for side in build]
     having = [Counter(w for i in side for w in sets[int(i)]) for side in build]
-    lean = {w: math.log((n + 0.5) / (having[1][w] + 0.5) * len(build[1]) / len(build[0])) for w, n in having[0].items()}
+    lean = {w: math.log((n + 0.5) / (having[1][w] + 0.5) * len(build[1]) / len(build[0])) for w, n in sorted(having[0].items())}  # sorted: sets have no fixed order
     marked = [w for w, x in lean.items() if x > 2.5 and having[0][w] >= 5] or sorted(lean, key=lean.get, reverse=True)[:200]
     rng = np.random.default_rng(0)
     dictionaries = []
@@ -156,16 +158,18 @@ def train(texts: list[bytes], toxic: np.ndarray) -> dict | None:
     model["mean"], model["spread"] = x.mean(axis=0), x.std(axis=0) + 1e-9
     x = np.c_[(x - model["mean"]) / model["spread"], np.ones(len(x))]
     w = np.zeros(x.shape[1])
-    for _ in range(50):  # Newton steps with a little ridge
+    prior = RIDGE * np.r_[np.ones(len(w) - 1), 1e-6]  # on all but the constant
+    for _ in range(50):  # Newton steps
         p = 1.0 / (1.0 + np.exp(-np.clip(x @ w, -30, 30)))
-        curve = (x * (weight * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ x + 1e-2 * np.eye(len(w))
-        w = w - np.linalg.solve(curve, x.T @ (weight * (p - y)) + 1e-2 * w)
+        curve = (x * (weight * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ x + np.diag(prior)
+        w = w - np.linalg.solve(curve, x.T @ (weight * (p - y)) + prior * w)
     model["weights"] = w
     return model
 
 
 def is_held_out(key: Column) -> Column:
-    return F.crc32(key.cast("string")) % 3 == 1
+    """Rows without an id are not held out."""
+    return F.coalesce(F.crc32(key.cast("string")) % 3 == 1, F.lit(False))
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", toxic_rows: int = TOXIC_ROWS, ordinary_rows: int = ORDINARY_ROWS) -> bytes | None:

@@ -69,6 +69,39 @@ def tokenizer(path):
 # 1
 
 
+@pytest.mark.parametrize("leaf", [64, 32_768])
+def test_bpe_pieces_that_end_in_white_space(spark, leaf):
+    t = tokenizer(BYTE)
+    shift = ["", "x", "xy", "xyz "]
+    parts = ["ab\n\n", "中文字\n\n", "ab\t\t", "é\n \n\n", "a\n\n\n中"]
+    rows = [(100 * i + j, s + p * (3 * leaf // len(p))) for i, p in enumerate(parts) for j, s in enumerate(shift)]
+    got = {r["doc_id"]: r["ids"] for r in bpe.encode(docs_of(spark, rows), BYTE, leaf=leaf).collect()}
+    for i, text in rows:
+        assert got[i] == t.encode(text, add_special_tokens=False).ids
+
+
+def test_callers_columns_keep_their_values(spark):
+    """Names that the operators use inside."""
+    names = ["_rk", "_doc", "_gone", "_t", "_key", "t", "_k", "c0", "c1", "_links", "_score"]
+    base = " ".join(f"w{i}" for i in range(40))
+    rows = [(i, base if i < 2 else f"only here {i}", *[f"{n}{i}" for n in names]) for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    done = {r["doc_id"]: r for r in lines.dedup_lines(df).collect()}
+    assert all(done[i][n] == f"{n}{i}" for i in range(4) for n in names) and done[1]["n_removed"] == 1
+    kept = {r["doc_id"]: r for r in minhash.one_of_each(df).collect()}
+    assert sorted(kept) == [0, 2, 3] and all(kept[i][n] == f"{n}{i}" for i in kept for n in names)
+    import corpus_pipeline
+
+    labels = spark.createDataFrame([(i, 0) for i in range(4)], "doc_id long, toxic int")
+    clean = corpus_pipeline.without_toxic(df.withColumn("score", F.lit("own")), labels).collect()
+    assert len(clean) == 4 and all(r["score"] == "own" and r["_score"] == f"_score{r['doc_id']}" for r in clean)
+
+
+def test_rows_without_an_id_are_not_held_out(spark):
+    rows = spark.createDataFrame([(None,), (3,)], "doc_id long").select(toxicity.is_held_out(F.col("doc_id")).alias("h")).collect()
+    assert rows[0]["h"] is False
+
+
 @pytest.mark.parametrize("leaf", [64, 32_768])
 def test_bpe_matches_the_tokenizer(spark, awkward, leaf):
     rows = awkward + [(20, "ab" * 700 + " " + "\n" * 300 + "!" * 301 + "é" * 200 + " 12345" * 60 + "<|endoftext|>" * 9)]
@@ -301,7 +334,7 @@ def test_chat_media(spark):
 # 7
 
 
-def greedy_lines(rows, threshold=0.8, least=5):
+def greedy_lines(rows, threshold=0.8, least=1):
     """Documents by id with the lines that stay; a line goes if any earlier line matches."""
     order = sorted({(i is not None, i or 0, t or "") for i, t in rows})
     seen, out = [], {}
@@ -343,7 +376,7 @@ def test_line_dedup(spark, awkward):
     assert lines.dedup_lines(docs_of(spark, [])).count() == 0
 
 
-def links_by_force(rows, threshold=0.8, least=5):
+def links_by_force(rows, threshold=0.8, least=1):
     """id -> (ids of earlier documents with a matching line, smallest id of the class)."""
     sets = collections.defaultdict(set)
     for i, t in rows:
