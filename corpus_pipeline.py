@@ -13,10 +13,16 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents whose toxicity score stays below the threshold."""
-    model = toxicity.fit(docs, table(spark, folder, "labels"))
-    scored = toxicity.score(docs.withColumnRenamed("score", "_score"), model)
-    kept = scored.where(F.col("score") < toxicity.THRESHOLD).drop("score").withColumnRenamed("_score", "score")
-    return kept.select(*docs.columns)
+    return without_toxic(docs, table(spark, folder, "labels"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The same by given labels. The columns go by numbers meanwhile, so that none clashes with the score."""
+    model = toxicity.fit(docs, labels)
+    numbered = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    scored = toxicity.score(numbered, model, f"c{docs.columns.index('text')}")
+    kept = scored.where(F.col("score") < toxicity.THRESHOLD)
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
