@@ -61,7 +61,7 @@ def bid(drawn: tuple[Column, Column, Column], log_weight: Column) -> Column:
 
 
 def fingerprints(terms: DataFrame, keys: list[str], weights: dict[str, str], kept: list[Column] | None = None) -> DataFrame:
-    """For every group of keys and each entry (name, weight column) of ``weights``, the fingerprint ``name``.
+    """For every group of keys and each entry (name, weight column) of ``weights``, its samples ``name``, NULL if it has none.
 
     ``terms`` has ``term`` once for each group, and its weights; a NULL or zero weight does not take part, and rows
     without a term only keep their group. All weights share the draws of a term. Samples are dealt to some rows a
@@ -75,25 +75,26 @@ def fingerprints(terms: DataFrame, keys: list[str], weights: dict[str, str], kep
         drawn = draws(F.col("term"), F.col("turn") * AT_ONCE + k)
         lowest += [F.min(bid(drawn, F.col(f"_l{i}"))).alias(f"_m{i}_{k}") for i in range(len(weights))]
     found = dealt.groupBy(*keys, "turn").agg(*lowest, *(kept or []))
-    digits = lambda m: F.lpad(F.lower(F.hex(F.xxhash64(m).bitwiseAND(F.lit(0xFFFF)))), 4, "0")
-    texts = [
-        F.when(F.col(f"_m{i}_0").isNull(), F.lit("0000" * AT_ONCE)).otherwise(F.concat(*[digits(f"_m{i}_{k}") for k in range(AT_ONCE)]))
-        for i in range(len(weights))
-    ]
-    names = [f"_t{i}" for i in range(len(weights))]
+    numbers = lambda i: F.array(*[F.xxhash64(f"_m{i}_{k}").bitwiseAND(F.lit(0xFFFF)).cast("int") for k in range(AT_ONCE)])
+    names = [f"_n{i}" for i in range(len(weights))]
+    parts = [F.when(F.col(f"_m{i}_0").isNotNull(), numbers(i)).alias(n) for i, n in enumerate(names)]
     rest = [c for c in found.columns if c not in (*keys, "turn") and not c.startswith("_m")]
-    found = found.select(*keys, *rest, F.struct("turn", *[t.alias(n) for t, n in zip(texts, names, strict=True)]).alias("_part"))
+    found = found.select(*keys, *rest, F.struct("turn", *parts).alias("_part"))
     whole = found.groupBy(*keys).agg(F.array_sort(F.collect_list("_part")).alias("_parts"), *[F.max(c).alias(c) for c in rest])
-    made = [F.array_join(F.col(f"_parts.{n}"), "").alias(name) for n, name in zip(names, weights, strict=True)]
+    made = [F.flatten(F.col(f"_parts.{n}")).alias(name) for n, name in zip(names, weights, strict=True)]
     return whole.select(*keys, *made, *rest)
 
 
+def written(samples: Column) -> Column:
+    """Samples as text, four hexadecimal digits each."""
+    digits = F.transform(samples, lambda x: F.lpad(F.lower(F.hex(x)), 4, "0"))
+    return F.coalesce(F.array_join(digits, ""), F.lit("0000" * SAMPLES))
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """Share of the samples that agree; 0 if one has none, 1 if both have none."""
-    empty = F.lit("0000" * SAMPLES)
-    places = F.sequence(F.lit(0), F.lit(SAMPLES - 1))
-    same = F.filter(places, lambda i: F.substring(a, i * 4 + 1, F.lit(4)) == F.substring(b, i * 4 + 1, F.lit(4)))
-    return F.when(a == b, 1.0).when((a == empty) | (b == empty), 0.0).otherwise(F.size(same) / float(SAMPLES))
+    """Share of the samples that agree; 0 if one text has none, 1 if neither has any."""
+    same = F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda x: x)
+    return F.when(a.isNull() & b.isNull(), 1.0).when(a.isNull() | b.isNull(), 0.0).otherwise(F.size(same) / float(SAMPLES))
 
 
 def _order(rows: DataFrame) -> DataFrame:
@@ -114,6 +115,10 @@ def _order(rows: DataFrame) -> DataFrame:
     return settled(joined.select("kid", "h", "n", "copies", *[F.col(f"before.{c}").alias(p) for c, p in (("kid", "pk"), ("h", "ph"), ("n", "pn"))]))
 
 
+def _term(part: int, x: Column, old: bool, new: bool) -> Column:
+    return F.struct(F.lit(part).alias("part"), x.alias("x"), F.lit(old).alias("old"), F.lit(new).alias("new"))
+
+
 def _digest_parts(text: Column) -> list[Column]:
     """SHA-256 as four longs, which aggregate in place."""
     digest = F.sha2(text.cast("binary"), 256)
@@ -132,16 +137,17 @@ def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     quarter = lambda n: F.floor(F.col(n) / 4).cast("int")
     beginnings = once.select(F.col("pk").alias("kid"), F.col("ph").alias("h"), F.substring("text", F.lit(1), quarter("pn")).alias("new"))
     changed = F.concat(F.substring("text", F.lit(1), (F.col("n") - quarter("n")).cast("int")), F.col("new"))
-    both = once.join(beginnings, keys).select(*keys, "text", changed.alias("edited"))
-    own = F.transform(term_hashes(F.col("text")), lambda x: F.struct(F.lit(0).alias("part"), x.alias("x")))
-    after = F.transform(term_hashes(F.col("edited")), lambda x: F.struct(F.lit(0).alias("part"), x.alias("x")))
-    parts = [F.struct(F.lit(i + 1).alias("part"), p.alias("x")) for i, p in enumerate(_digest_parts(F.col("edited")))]
-    sides = F.array(
-        F.struct(F.lit(False).alias("changed"), own.alias("terms")),
-        F.struct(F.lit(True).alias("changed"), F.concat(after, F.array(*parts)).alias("terms")),
-    )
-    listed = both.select(*keys, F.explode(sides).alias("s")).select(*keys, "s.changed", F.explode("s.terms").alias("e"))
-    old, new = (F.count(F.when(c, 1)) for c in (~F.col("changed"), F.col("changed")))
+    both = once.join(beginnings, keys).select(*keys, "n", "text", changed.alias("edited"))
+    # the words up to the last white space before the cut are those of both texts
+    shared = F.length(F.regexp_extract(F.substring("text", F.lit(1), (F.col("n") - quarter("n")).cast("int")), r"(?s)^(.*)\s", 1))
+    both = both.withColumn("shared", shared)
+    rest = lambda c: F.substring(c, F.col("shared") + 1, F.length(c))
+    pieces = [(F.substring("text", F.lit(1), F.col("shared")), True, True), (rest("text"), True, False), (rest("edited"), False, True)]
+    piece_term = lambda o, n: lambda x: _term(0, x, o, n)
+    listed = [F.transform(term_hashes(t), piece_term(o, n)) for t, o, n in pieces]
+    parts = F.array(*[_term(i + 1, p, False, True) for i, p in enumerate(_digest_parts(F.col("edited")))])
+    listed = both.select(*keys, F.explode(F.concat(*listed, parts)).alias("e"))
+    old, new = (F.count(F.when(c, 1)) for c in (F.col("e.old"), F.col("e.new")))
     counted = listed.groupBy(*keys, "e.part", "e.x").agg(old.alias("old"), new.alias("new"))
     terms = counted.withColumn("term", F.when(F.col("part") == 0, F.col("x")))
     digest = [F.max(F.when(F.col("part") == i + 1, F.col("x"))).alias(f"_d{i}") for i in range(4)]
@@ -155,8 +161,8 @@ def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         F.when(F.col("kid") != LOWEST, F.col("kid")).alias("doc_id"),
         F.col("n").cast("long").alias("n_chars"),
         "edited_sha256",
-        "fingerprint",
-        "edited_fingerprint",
+        written(F.col("fingerprint")).alias("fingerprint"),
+        written(F.col("edited_fingerprint")).alias("edited_fingerprint"),
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next")).alias("near_next"),
     )

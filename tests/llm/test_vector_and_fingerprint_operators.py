@@ -7,6 +7,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from plyscope.llm import fingerprints, negatives, whitening
 from plyscope.llm.queries import QUERIES
@@ -174,7 +175,9 @@ def test_samples_collide_as_often_as_the_generalised_jaccard(spark):
         want.append(np.minimum(a, b).sum() / np.maximum(a, b).sum())
         rows += [(g, 100 * g + i, int(p), int(q)) for i, (p, q) in enumerate(zip(a, b))]
     terms = spark.createDataFrame(rows, "g long, term long, p long, q long")
-    made = {r["g"]: likeness(r["a"], r["b"]) for r in fingerprints.fingerprints(terms, ["g"], {"a": "p", "b": "q"}).collect()}
+    sampled = fingerprints.fingerprints(terms, ["g"], {"a": "p", "b": "q"})
+    texts = [fingerprints.written(F.col(c)).alias(c) for c in "ab"]
+    made = {r["g"]: likeness(r["a"], r["b"]) for r in sampled.select("g", *texts).collect()}
     gaps = np.array([made[g] - want[g] for g in range(600)])
     assert abs(gaps.mean()) < 0.012 and gaps.std() < 0.075
 
