@@ -149,7 +149,6 @@ def op7_line_similarity_join(spark: SparkSession, folder: str) -> DataFrame:
         "n_removed",
         "links",
         "class_id",
-        "sources",
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"),
     )
 
