@@ -161,7 +161,7 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def between_blocks(members: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
-    """One verified link (a, b) for every two classes that are linked inside a bucket.
+    """Verified links (a, b) that join all classes which are linked inside a bucket, none twice in a comparison.
 
     members: h, t, root, n. A bucket is cut into blocks of about ``BLOCK_MEMBERS`` and every two blocks are compared
     in a task of their own, by products of the matrices of shingles that several of them have.
@@ -186,13 +186,17 @@ def between_blocks(members: DataFrame, texts: DataFrame, words: int, threshold:
         column = np.full(len(every), -1)
         column[shared] = np.arange(len(shared))
         row = np.repeat(np.arange(len(sets)), size)
-        common = np.zeros((len(sets), len(sets)), np.float32)
+        counts = np.concatenate([c for _, c in sets]).astype(np.float32)
+        common, weight = (np.zeros((len(sets), len(sets)), np.float32) for _ in range(2))
         at = column[inverse]
         for begin in range(0, len(shared), 8192):
             here = (at >= begin) & (at < begin + 8192)
             m = np.zeros((len(sets), min(8192, len(shared) - begin)), np.float32)
             m[row[here], at[here] - begin] = 1
             common += m @ m.T
+            heavy = m.copy()
+            heavy[row[here], at[here] - begin] = counts[here]
+            weight += heavy @ m.T
         label = np.unique(np.array([x.hex() for x in roots]), return_inverse=True)[1]
         side = np.array(own)
         apart = (label[:, None] < label[None, :]) & (common > 0)
@@ -200,13 +204,31 @@ def between_blocks(members: DataFrame, texts: DataFrame, words: int, threshold:
             apart &= side[:, None] != side[None, :]
         i, j = np.nonzero(apart)
         both = plain[i] & plain[j]
-        good = np.zeros(len(i), dtype=bool)
-        good[both] = common[i[both], j[both]] >= (threshold - 1e-9) * (size[i[both]] + size[j[both]] - common[i[both], j[both]])
-        linked = {(label[x], label[y]): (x, y) for x, y in zip(i[good], j[good], strict=True)}
-        for x, y in zip(i[~both], j[~both], strict=True):
-            if (label[x], label[y]) not in linked and similarity(*sets[x], *sets[y]) >= threshold - 1e-12:
-                linked[(label[x], label[y])] = (x, y)
-        return pa.table({"a": pa.array([names[x] for x, _ in linked.values()], pa.binary()), "b": pa.array([names[y] for _, y in linked.values()], pa.binary())})
+        x, y = i[both], j[both]
+        good = common[x, y] >= (threshold - 1e-9) * (size[x] + size[y] - common[x, y])
+        sure = np.stack([x[good], y[good]], axis=1)
+        # with repeated shingles the similarity is at most 1 / (A / A' + B / B' - 1), the primes being what is common
+        x, y = i[~both], j[~both]
+        whole = np.bincount(row, weights=counts, minlength=len(sets))
+        bound = 1.0 / (whole[x] / weight[x, y] + whole[y] / weight[y, x] - 1.0)
+        order = np.argsort(-bound, kind="stable")
+        maybe = np.stack([x, y], axis=1)[order[bound[order] >= threshold - 1e-5]]
+        of = list(range(label.max() + 1))
+
+        def top(c):
+            while of[c] != c:
+                of[c] = c = of[of[c]]
+            return c
+
+        linked = []
+        _, first = np.unique(label[sure], axis=0, return_index=True)
+        for pairs, known in ((sure[first], True), (maybe, False)):
+            for x, y in pairs.tolist():
+                low, high = sorted((top(label[x]), top(label[y])))
+                if low != high and (known or similarity(*sets[x], *sets[y]) >= threshold - 1e-12):
+                    of[high] = low
+                    linked.append((names[x], names[y]))
+        return pa.table({"a": pa.array([a for a, _ in linked], pa.binary()), "b": pa.array([b for _, b in linked], pa.binary())})
 
     return blocks.groupBy("h", "low", "high").applyInArrow(compare, "a binary, b binary").distinct()
 

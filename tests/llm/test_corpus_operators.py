@@ -522,6 +522,22 @@ def test_near_duplicates_in_crowded_buckets(spark, monkeypatch):
     assert sorted(((r["doc_id"], r["class_id"]) for r in found.collect()), key=str) == classes_by_force(rows)
 
 
+def test_near_duplicates_with_repeated_passages_in_crowded_buckets(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "FEW_MEMBERS", 2)
+    monkeypatch.setattr(minhash, "BLOCK_MEMBERS", 8)
+    rng = np.random.default_rng(18)
+    base, rows = words(rng, 90, 10_000), []
+    for i in range(60):  # around the threshold, with shingles that occur several times on either side
+        own = base[:60] + base[20:50] * int(rng.integers(1, 4)) + base[60:]
+        for _ in range(int(rng.integers(1, 5))):
+            own[int(rng.integers(0, len(own)))] = f"v{int(rng.integers(0, 400))}"
+        rows.append((i, " ".join(own)))
+    want = classes_by_force(rows)
+    assert 1 < len({c for _, c in want}) < 50
+    found = minhash.near_duplicates(docs_of(spark, rows))
+    assert sorted(((r["doc_id"], r["class_id"]) for r in found.collect()), key=str) == want
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(9)
     ids = np.sort(rng.integers(1, 1 << 50, 300).astype(np.uint64))
