@@ -206,22 +206,56 @@ def test_language_model(spark, awkward):
 
 def test_language_model_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
-    pairs = lm.summed(rng.integers(0, 30, 4000).astype(np.uint64) << np.uint64(8), rng.integers(0, lm.CONTEXTS, 4000).astype(np.uint8), np.ones(4000, np.int64))
+    drawn = rng.integers(1, 30, 4000).astype(np.uint64) << np.uint64(40)
+    pairs = lm.summed(drawn, rng.integers(lm.CONTEXTS - 9, lm.CONTEXTS, 4000).astype(np.uint32), np.ones(4000, np.int64))
+    assert np.array_equal(lm.unpacked_pairs(lm.packed_pairs(pairs)), pairs)
     customers = np.bincount(pairs["c"], weights=pairs["n"], minlength=lm.CONTEXTS)
+    none = np.zeros(0, np.int64)
     totals = {"round": 0, "customers": customers, "distinct": float(len(np.unique(pairs["w"]))), "tokens": customers.sum(), "tables": customers * 0.3}
     totals |= {"root_customers": customers.sum() * 0.3, "root_tables": totals["distinct"]}
+    totals |= {"often": none.view(np.uint64), "often_counts": none, "often_customers": none, "often_tables": none}
     shop = lm.Restaurants(pairs, 0, totals)
     for _ in range(3):  # seats and totals come to agree
         shop.sweep()
         tables = np.bincount(pairs["c"], weights=shop.tables, minlength=lm.CONTEXTS)
         totals |= {"tables": tables, "root_customers": tables.sum(), "root_tables": float(shop.root_tables.sum())}
-    seen = np.append(shop.words, np.uint64(31 << 40))  # and the unknown word
-    for c in range(lm.CONTEXTS):
+    seen = np.append(shop.words, np.uint64(31 << 50))  # and the unknown word
+    for c in range(lm.CONTEXTS - 12, lm.CONTEXTS):  # some of them nobody has entered
         own = pairs["n"] - lm.DISCOUNTS[0] * shop.tables
         log_p, _ = shop.lookup(seen, np.full(len(seen), c), (own, shop.root(shop.root_customers, shop.root_tables)))
         assert (10.0**log_p).sum() == pytest.approx(1.0, abs=1e-6)
 
 
+def test_language_model_knows_what_follows_a_word(spark):
+    rng = np.random.default_rng(4)
+    after = rng.permutation(50)
+    rows = []
+    for i in range(120):  # every word has one likely successor; alone, all words are as frequent
+        at, text = int(rng.integers(0, 50)), []
+        for _ in range(80):
+            text.append(f"x{at}")
+            at = int(after[at]) if rng.random() < 0.9 else int(rng.integers(0, 50))
+        rows.append((i, " ".join(text)))
+    held = [r for r in lm.scored(docs_of(spark, rows)).collect() if r["held_out"]]
+    tokens = sum(r["n_tokens"] for r in held)
+    assert held and -sum(r["score"] for r in held) / tokens < 0.5 < 1.5 < -sum(r["base_score"] for r in held) / tokens
+
+
+def test_language_model_of_several_shares(spark, awkward, monkeypatch):
+    """Counts are those of one share, and scores differ by the seating alone; some words are in all shares."""
+    rng = np.random.default_rng(6)
+    rows = awkward + [(i, " ".join(words(rng, 150, 3000)) + " of the" * 40) for i in range(100, 160)]
+    one = lm.scored(docs_of(spark, rows)).collect()
+    monkeypatch.setattr(lm, "SHARE_TOKENS", 2000)
+    monkeypatch.setattr(lm, "OFTEN", 64)
+    many = lm.scored(docs_of(spark, rows)).collect()
+    key = lambda r: (str(r["doc_id"]), r["n_tokens"], r["base_score"])
+    for a, b in zip(sorted(one, key=key), sorted(many, key=key), strict=True):
+        assert [a[c] for c in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens")] == [b[c] for c in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens")]
+        assert a["base_score"] == pytest.approx(b["base_score"])
+        assert a["score"] == pytest.approx(b["score"], rel=0.05, abs=0.1)
+
+
 # 4 and 9
 
 
