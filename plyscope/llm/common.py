@@ -90,7 +90,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
     after[:-1] = ~inside[1:] | first[1:-1]
     after[-1] = True
     ends = np.flatnonzero(after & inside) + 1
-    power, inverse = _powers(max(BLOCK_BYTES, len(data) - 1).bit_length())
+    power, inverse = _powers((max(BLOCK_BYTES, len(data)) - 1).bit_length())
     values = (_LOWER[data] if lower else data).astype(np.uint64)
     values += np.uint64(1)
     values *= inside

@@ -7,9 +7,9 @@ are ordered by document id (NULL first), document and place, and a line goes if
 Words are ordered by rarity, by counts over all lines in a table of fixed size (words that share a slot share a count,
 which affects speed alone). Lines that match share a word among the rarest ones of each, so these prefixes meet in
 groups by word; the length filter, the positional filter and a bit filter on the symmetric difference drop most
-pairs, all without losing a match. Those that are left are verified, by sketches of the sets and then on the whole sets,
-but for pairs that can change nothing: the later line has an earlier match and both are in one class already. Equal
-sets count as one line throughout.
+pairs, all without losing a match. Those that are left are verified, by sketches of the sets and then on the whole sets.
+Where only the removals are asked for, a line that has an earlier match is not compared further. Equal sets count as one
+line throughout.
 
 Lines that match, directly or over others, form classes of lines. Two documents with different ids are linked if they
 hold lines of one class (rows without an id count as one document here); linked documents form classes.
@@ -20,6 +20,8 @@ carried along.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -253,12 +255,17 @@ def _meetings(e: dict[str, np.ndarray], age: np.ndarray, threshold: float):
         yield np.where(swap, j, i), np.where(swap, i, j)
 
 
-def _first_tries(e: dict[str, np.ndarray], threshold: float) -> dict[str, np.ndarray]:
-    """The entries that pass the filters with any other; ``near``: the earliest set that theirs meets, or itself."""
+def _repeated(e: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The ordered entries whose word stands in another one too."""
     order = np.argsort(e["token"])
     token = e["token"][order]
     again = token[1:] == token[:-1]
-    e = _ordered({k: v[order[np.concatenate([[False], again]) | np.concatenate([again, [False]])]] for k, v in e.items()})
+    return _ordered({k: v[order[np.concatenate([[False], again]) | np.concatenate([again, [False]])]] for k, v in e.items()})
+
+
+def _first_tries(e: dict[str, np.ndarray], threshold: float) -> dict[str, np.ndarray]:
+    """The entries that pass the filters with any other; ``near``: the earliest set that theirs meets, or itself."""
+    e = _repeated(e)
     sigs, age, _ = _ages(e)
     near, met = np.arange(len(sigs)), np.zeros(len(age), bool)
     for earlier, later in _meetings(e, age, threshold):
@@ -267,30 +274,45 @@ def _first_tries(e: dict[str, np.ndarray], threshold: float) -> dict[str, np.nda
     return {k: v[met] for k, v in e.items()} | {"near": sigs[near[age[met]]]}
 
 
-def _open_pairs(e: dict[str, np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Earlier and later sets that pass the filters and may still matter, each pair once.
+def _met_pairs(e: dict[str, np.ndarray], age: np.ndarray, threshold: float, unmatched: np.ndarray | None = None) -> Iterator[np.ndarray]:
+    """Blocks of distinct pairs (earlier << 32 | later) of sets by age; a pair may stand in several blocks."""
+    found, held = [], 0
+    for earlier, later in _meetings(e, age, threshold):
+        if unmatched is not None:
+            earlier, later = earlier[unmatched[later]], later[unmatched[later]]
+        found.append((age[earlier] << 32) | age[later])
+        held += len(found[-1])
+        if held > 16 * PAIRS_AT_ONCE:
+            yield np.unique(np.concatenate(found))
+            found, held = [], 0
+    if held:
+        yield np.unique(np.concatenate(found))
+
 
-    A pair matters if its later set has no match so far or its ends are in different classes (``root``).
-    """
+def _open_pairs(e: dict[str, np.ndarray], threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Earlier and later sets that pass the filters, where the later one has no match so far."""
     e = _ordered(e)
     sigs, age, _ = _ages(e)
     begin = np.flatnonzero(np.concatenate([[True], e["token"][1:] != e["token"][:-1]])) if len(age) else np.zeros(0, int)
     if len(begin):
         size = np.diff(np.append(begin, len(age)))
         oldest = np.repeat(np.minimum.reduceat(age, begin), size)
-        wanted = np.maximum.reduceat((e["matched"] == 0) & (age != oldest), begin)
-        wanted |= np.minimum.reduceat(e["root"], begin) != np.maximum.reduceat(e["root"], begin)
-        keep = np.repeat(wanted, size)
+        keep = np.repeat(np.maximum.reduceat((e["matched"] == 0) & (age != oldest), begin), size)
         e, age = {k: v[keep] for k, v in e.items()}, age[keep]
-    found, held = [np.zeros(0, np.int64)], 0
-    for earlier, later in _meetings(e, age, threshold):
-        some = (e["matched"][later] == 0) | (e["root"][earlier] != e["root"][later])
-        found.append((age[earlier[some]] << 32) | age[later[some]])
-        held += len(found[-1])
-        if held > 16 * PAIRS_AT_ONCE:
-            found, held = [np.unique(np.concatenate(found))], 0
-    both = np.unique(np.concatenate(found))
-    return sigs[both >> 32], sigs[both & 0xFFFFFFFF]
+    for both in _met_pairs(e, age, threshold, e["matched"] == 0):
+        yield sigs[both >> 32], sigs[both & 0xFFFFFFFF]
+
+
+def _all_pairs(prefixes: DataFrame, threshold: float) -> DataFrame:
+    """a, b: all pairs of sets that pass the filters, the earlier one first."""
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e = _repeated(_unpack([x for batch in batches for x in batch.column("blob").to_pylist()]))
+        sigs, age, _ = _ages(e)
+        for both in _met_pairs(e, age, threshold):
+            yield pa.RecordBatch.from_arrays([pa.array(sigs[both >> 32]), pa.array(sigs[both & 0xFFFFFFFF])], names=["a", "b"])
+
+    return prefixes.groupBy("bucket").applyInArrow(run, "a long, b long").distinct()
 
 
 def _tries(prefixes: DataFrame, threshold: float) -> DataFrame:
@@ -306,20 +328,21 @@ def _tries(prefixes: DataFrame, threshold: float) -> DataFrame:
 
 
 def _rest(tries: DataFrame, threshold: float) -> DataFrame:
-    """a, b: the pairs that may still matter; tries with root and matched."""
+    """a, b: the pairs that may still matter; tries with matched."""
 
-    def run(group: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = pa.Table.from_batches(batches)
         e = {k: group.column(k).to_numpy() for k in group.column_names if k not in ("bucket", "near")}
         e |= {k: e[k].view(np.uint64) for k in ("bits", "more")}
-        a, b = _open_pairs(e, threshold)
-        return pa.table({"a": a, "b": b})
+        for a, b in _open_pairs(e, threshold):
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     return tries.groupBy("bucket").applyInArrow(run, "a long, b long").distinct()
 
 
-def _places(sigs: DataFrame, docs: DataFrame, rare: np.ndarray, least: int) -> DataFrame:
-    """sig, doc, rk, line of every line that takes part; the first of a block also has the words and the sketch of a given set."""
-    wanted = docs.sparkSession.sparkContext.broadcast(flags(sigs, ["sig"]))
+def _places(wanted: np.ndarray, docs: DataFrame, rare: np.ndarray, least: int) -> DataFrame:
+    """sig, doc, rk, line of every line that takes part; the first of a block also has the words and the sketch of a flagged set."""
+    wanted = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def places(lines: Lines, doc, rk):
         keep = np.flatnonzero(lines.n >= least)
@@ -373,63 +396,50 @@ def _verified(pairs: DataFrame, held: DataFrame, threshold: float) -> DataFrame:
     return both.mapInArrow(check, "a long, b long")
 
 
-def _classes(links: DataFrame, before: DataFrame | None = None) -> DataFrame:
-    """node, root: the class of every linked set, over the classes that were there before."""
-    if before is None:
-        return components(links)
-    ends = links
-    for side in ("a", "b"):
-        ends = ends.join(before.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root")), side, "left")
-    ends = ends.select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
-    over = components(ends).select(F.col("node").alias("root"), F.col("root").alias("top"))
-    moved = before.join(over, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-    new = over.select(F.col("root").alias("node"), F.col("top").alias("root")).join(before.select("node"), "node", "left_anti")
-    return moved.unionByName(new)
+def _earlier_matches(prefixes: DataFrame, docs: DataFrame, rare: np.ndarray, threshold: float, least: int) -> tuple[DataFrame, DataFrame]:
+    """Matches (a, b) that leave no set without one that has an earlier match, and the places of all lines.
+
+    Each set is first compared with the one that most of its words propose; those without a match then with all others.
+    """
+    tries = stored(_tries(prefixes, threshold), "line-tries")
+    every = _places(flags(tries, ["sig"]), docs, rare, least)
+    held = _sets(every)
+    asked = tries.where("near != sig").groupBy(F.col("sig").alias("b"), F.col("near").alias("a")).agg(F.count(F.lit(1)).alias("n"))
+    first = stored(asked.groupBy("b").agg(F.max(F.struct("n", "a")).alias("best")).select("best.a", "b"), "line-first")
+    found = stored(_verified(first, held, threshold), "line-links")
+    matched = found.select(F.col("b").alias("sig")).distinct().withColumn("matched", F.lit(1).cast("long"))
+    state = tries.join(matched, "sig", "left").withColumn("matched", F.coalesce("matched", F.lit(0).cast("long")))
+    rest = stored(_rest(state, threshold).join(first, ["a", "b"], "left_anti"), "line-rest")
+    return found.unionByName(stored(_verified(rest, held, threshold), "line-links")), every
 
 
 def matching_lines(
     docs: DataFrame, threshold: float = THRESHOLD, least: int = LEAST_WORDS, linked: bool = True
-) -> DataFrame:
-    """sig, doc, rk, line, later and root of the lines whose set stands twice or matches another.
+) -> tuple[DataFrame, DataFrame]:
+    """sig, doc, rk, line, later and root of the lines whose set stands twice or matches another; and the matches (a, b).
 
     docs: doc, rk, text. later: the set matches an earlier one, else NULL; root: its class of sets connected by matches,
-    itself where it has none. With ``linked`` off there are no classes, and sets that only later ones match are left
-    out. Each set is first compared with the one that most of its words propose. Only what that leaves open is compared
-    further: sets without an earlier match, with all their candidates, and unless ``linked`` is off candidates of
-    different classes.
+    itself where it has none. The matches are all pairs of different sets that match, the earlier one first. With
+    ``linked`` off there are no classes, sets that only later ones match are left out, and the matches are those that
+    the removals need.
     """
     rare = rarity(docs.select("text"))
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     prefixes = _prefixes(docs, rare, threshold, least, tasks_for(size // 30, BUCKET_ENTRIES))
-    tries = stored(_tries(prefixes, threshold), "line-tries")
-    every = _places(tries.select("sig"), docs, rare, least)
-    held = _sets(every)
-    asked = tries.where("near != sig").groupBy(F.col("sig").alias("b"), F.col("near").alias("a")).agg(F.count(F.lit(1)).alias("n"))
-    first = stored(asked.groupBy("b").agg(F.max(F.struct("n", "a")).alias("best")).select("best.a", "b"), "line-first")
-    found = stored(_verified(first, held, threshold), "line-links")
-    state = found.select(F.col("b").alias("node")).distinct().withColumn("matched", F.lit(1).cast("long"))
-    classes = None
     if linked:
-        classes = _classes(found)
-        state = classes.join(state, "node", "left")
+        pairs = stored(_all_pairs(prefixes, threshold), "line-pairs")
+        every = _places(flags(pairs, ["a", "b"]), docs, rare, least)
+        found = stored(_verified(pairs, _sets(every), threshold), "line-links")
     else:
-        state = state.withColumn("root", F.lit(0).cast("long"))
-    alone = F.col("sig") if linked else F.lit(0).cast("long")
-    state = tries.join(state.withColumnRenamed("node", "sig"), "sig", "left")
-    state = state.withColumns({"root": F.coalesce("root", alone), "matched": F.coalesce("matched", F.lit(0).cast("long"))})
-    rest = stored(_rest(state, threshold).join(first, ["a", "b"], "left_anti"), "line-rest")
-    more = stored(_verified(rest, held, threshold), "line-links")
-    if linked and not more.isEmpty():
-        classes = _classes(more, classes)
-
-    later = found.unionByName(more).select(F.col("b").alias("sig")).distinct().withColumn("later", F.lit(True))
+        found, every = _earlier_matches(prefixes, docs, rare, threshold, least)
+    later = found.select(F.col("b").alias("sig")).distinct().withColumn("later", F.lit(True))
     sets = every.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).join(later, "sig", "left")
     if linked:
-        sets = sets.join(classes.withColumnRenamed("node", "sig"), "sig", "left")
+        sets = sets.join(components(found).withColumnRenamed("node", "sig"), "sig", "left")
     else:
         sets = sets.withColumn("root", F.lit(None).cast("long"))
     sets = sets.where("n > 1 or later or root is not null").select("sig", "later", F.coalesce("root", "sig").alias("root"))
-    return stored(every.select("sig", "doc", "rk", "line").join(sets, "sig"), "line-places")
+    return stored(every.select("sig", "doc", "rk", "line").join(sets, "sig"), "line-places"), found
 
 
 def removed_lines(places: DataFrame) -> DataFrame:
@@ -439,10 +449,10 @@ def removed_lines(places: DataFrame) -> DataFrame:
     return placed.where(F.col("later").isNotNull() | (here != F.col("first"))).select("rk", "line").distinct()
 
 
-def linked_documents(places: DataFrame) -> DataFrame:
-    """doc, links, class_id of every linked document.
+def linked_documents(places: DataFrame, matches: DataFrame) -> DataFrame:
+    """doc, links, direct_links, class_id of every document with a place; links and class_id where others share a class.
 
-    Rows stand for a document in a class of lines, never for pairs of documents.
+    Rows stand for a document in a class of lines or with a set of words, never for pairs of documents.
     """
     members = places.select("doc", "root").distinct()
     shared = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("first")).where("n > 1")
@@ -450,16 +460,25 @@ def linked_documents(places: DataFrame) -> DataFrame:
     links = within.groupBy("doc").agg(F.sum(F.col("n") - 1).alias("links"))
     roots = components(within.select("first", "doc"), "first", "doc")
     named = roots.groupBy("root").agg(F.min(F.nullif("node", F.lit(LOWEST))).alias("class_id"))
-    return roots.join(named, "root").select(F.col("node").alias("doc"), "class_id").join(links, "doc")
+    holders = places.select("sig", "doc").distinct()
+    sets = holders.groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
+    ends = matches.unionByName(matches.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = ends.join(sets.withColumnRenamed("sig", "b"), "b").groupBy(F.col("a").alias("sig")).agg(F.sum("n").alias("near"))
+    around = sets.join(near, "sig", "left").select("sig", (F.col("n") - 1 + F.coalesce("near", F.lit(0))).alias("near"))
+    direct = holders.join(around, "sig").groupBy("doc").agg(F.sum("near").alias("direct_links"))
+    classed = roots.join(named, "root").select(F.col("node").alias("doc"), "class_id").join(links, "doc")
+    return direct.join(classed, "doc", "left")
 
 
 def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, least: int = LEAST_WORDS, linked: bool = True) -> DataFrame:
     """The rows with the text that is left, n_lines and n_removed, and unless ``linked`` is off what the document is linked to.
 
     links: for each class of lines in the document, the number of documents with another id that hold a line of it, added
-    up; class_id: smallest id of all documents that are linked directly or over others.
+    up; direct_links: for each different line of the document, the number of other documents with an equal line and of
+    documents with each line that matches it, added up (so two lines of
+    its own that match count, too); class_id: smallest id of all documents that are linked directly or over others.
     """
-    new = {"n_lines", "n_removed", "links", "class_id"}
+    new = {"n_lines", "n_removed", "links", "class_id", "direct_links"}
     carried = [f.name for f in df.schema.fields if f.name.lower() not in new]
     # the caller's columns go by numbers, so that none clashes with those made here
     k, t = (F.col(f"c{carried.index(c)}") for c in (key, text))
@@ -467,19 +486,20 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", threshol
     rows = named.withColumn("_rk", F.xxhash64(k, F.coalesce(t, F.lit(""))))
     doc = F.coalesce(k.cast("long"), F.lit(LOWEST).cast("long"))
     docs = rows.select(doc.alias("doc"), F.col("_rk").alias("rk"), F.coalesce(t.cast("string"), F.lit("")).alias("text"))
-    places = matching_lines(docs, threshold, least, linked)
+    places, matches = matching_lines(docs, threshold, least, linked)
     gone = removed_lines(places).groupBy(F.col("rk").alias("_rk")).agg(F.collect_list(F.col("line").cast("int")).alias("_gone"))
     parts = F.split(F.coalesce(t, F.lit("")), "\n", -1)
     kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("_gone", i)), "\n")
     found = []
     if linked:
         # small rows meet first, so that the texts move once
-        links = linked_documents(places).select("doc", *[F.col(c).alias(f"_{c}") for c in ("links", "class_id")])
+        links = linked_documents(places, matches).select("doc", *[F.col(c).alias(f"_{c}") for c in ("links", "direct_links", "class_id")])
         gone = docs.select(F.col("rk").alias("_rk"), "doc").distinct().join(links, "doc", "left").join(gone, "_rk", "left")
-        gone = gone.where(F.col("_links").isNotNull() | F.col("_gone").isNotNull()).withColumnRenamed("doc", "_doc")
+        gone = gone.where(F.col("_direct_links").isNotNull() | F.col("_gone").isNotNull()).withColumnRenamed("doc", "_doc")
         rows = rows.withColumn("_doc", doc)
         found = [
             F.coalesce("_links", F.lit(0)).cast("long").alias("links"),
+            F.coalesce("_direct_links", F.lit(0)).cast("long").alias("direct_links"),
             F.coalesce("_class_id", k.cast("long")).alias("class_id"),
         ]
     joined = rows.join(gone, ["_rk", "_doc"] if linked else ["_rk"], "left")

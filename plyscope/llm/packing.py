@@ -32,6 +32,8 @@ CACHED_WORDS = 400_000
 WINDOW_BITS = 20
 
 _PLAIN = re.compile("[a-zß-öø-ÿ]+")
+#: Latin letters, written in one or two bytes, and the ASCII marks behind them, which are tokens apart from the letters.
+_MARKED = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@[-`{-~]+)")
 
 
 class WordEncoder:
@@ -81,23 +83,20 @@ class WordEncoder:
         return b"".join(out)
 
     def _missing(self, word: bytes) -> bytes:
-        known = self.known
-        bare = word[:-1]
-        if word[-1:] in b".," and bare[-1:].isalpha() and bare.isascii():
-            # a mark behind an ASCII letter is always a token of its own
-            ids = known.get(bare)
-            mark = known.get(word[-1:])
-            if mark is None:
-                mark = known[word[-1:]] = self.word(word[-1:])
-            if ids is None:
-                ids = self.word(bare)
-                if len(known) < CACHED_WORDS:
-                    known[bare] = ids
-            ids += mark
-        else:
+        parts = _MARKED.fullmatch(word)
+        if parts is None:
+            return self._kept(word)
+        ids = b"".join(map(self._kept, parts.groups()))
+        if len(self.known) < CACHED_WORDS:
+            self.known[word] = ids
+        return ids
+
+    def _kept(self, word: bytes) -> bytes:
+        ids = self.known.get(word)
+        if ids is None:
             ids = self.word(word)
-        if len(known) < CACHED_WORDS:
-            known[word] = ids
+            if len(self.known) < CACHED_WORDS:
+                self.known[word] = ids
         return ids
 
 

@@ -148,6 +148,7 @@ def op7_line_similarity_join(spark: SparkSession, folder: str) -> DataFrame:
         "n_lines",
         "n_removed",
         "links",
+        "direct_links",
         "class_id",
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"),
     )

@@ -493,6 +493,30 @@ def test_lines_of_a_family_without_one_text_near_all(spark):
         assert {r["doc_id"]: r["text"] for r in found} == {i: text for (i, _), text in kept.items()}
 
 
+def test_every_matching_pair_of_lines_is_found(spark, monkeypatch):
+    """Also pairs within one class whose later line has an earlier match: here all sets of a family, most of them alike."""
+    rng = np.random.default_rng(21)
+    rows, docs = [], collections.defaultdict(set)
+    for i in range(90):
+        family = [f"f{i % 3}w{j}" for j in range(24)]
+        for _ in range(int(rng.integers(1, 5))):
+            family[int(rng.integers(0, 24))] = f"v{int(rng.integers(0, 6))}"
+        rows.append((i, " ".join(family) + "\n" + " ".join(family[:-1])))
+    rows += [(90, rows[0][1]), (91, rows[1][1].split("\n")[0])]
+    for i, t in rows:
+        docs[i] |= {frozenset(line.encode().split()) for line in t.split("\n")}
+    sets = sorted(set().union(*docs.values()), key=sorted)
+    near = {a: [b for b in sets if a != b and len(a & b) >= 0.8 * len(a | b) - 1e-12] for a in sets}
+    holders = collections.Counter(s for own in docs.values() for s in own)
+    monkeypatch.setattr(lines, "PAIRS_AT_ONCE", 64)
+    monkeypatch.setattr(lines, "BUCKET_ENTRIES", 100)
+    got = {r["doc_id"]: r["direct_links"] for r in lines.dedup_lines(docs_of(spark, rows)).collect()}
+    assert got == {i: sum(holders[s] - 1 + sum(holders[t] for t in near[s]) for s in own) for i, own in docs.items()}
+    numbered = spark.createDataFrame([(i, i, t) for i, t in rows], "doc long, rk long, text string")
+    _, matches = lines.matching_lines(numbered)
+    assert matches.count() == matches.distinct().count() == sum(map(len, near.values())) // 2
+
+
 # 8
 
 
