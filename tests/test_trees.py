@@ -114,3 +114,34 @@ def test_missing_values_and_one_class(spark):
     model = trees.fit_boosted(data, edges, 1, 2, 2, 0.1)
     assert model.probabilities(np.zeros((1, 1), np.uint8)).tolist() == [[1.0]]
     assert trees.fit_forest(data, edges, 1, 2, 2, 1).probabilities(np.zeros((1, 1), np.uint8)).tolist() == [[1.0]]
+
+
+def test_few_rows_split_as_their_histograms():
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 32, (700, 9)).astype(np.uint8)
+    draws, y = rng.poisson(1.0, 700), rng.integers(0, 3, 700)
+    stats = np.column_stack([*[draws * (y == c) for c in range(3)], draws, draws]).astype(float)
+    growth = trees.Growth(12, 3, 9, 3, True, 1)
+    for least in (1, 3):
+        some = trees.replace(growth, least_rows=least)
+        node = rng.integers(0, 90, 700)
+        node[:90] = np.arange(90)
+        chosen = some.all_candidates(4, list(range(1, 91)))
+        assert [c.tolist() for c in chosen] == [some.candidates(4, p).tolist() for p in range(1, 91)]
+        wide = some.best(some.histograms(x, stats, node, 90, chosen), chosen)
+        lean = some.best_of_rows(x, stats, node, 90, chosen)
+        split = wide[2] > 0
+        assert split.any() and (lean[2] == wide[2]).all()
+        assert all((a[split] == b[split]).all() for a, b in zip(wide, lean, strict=True))
+
+
+def test_grid_keeps_no_forest_at_the_driver(table, monkeypatch):
+    """The search scores in the tasks that grow the trees; the best forest is read when it is asked for."""
+    df, _, _ = table
+    monkeypatch.setattr(trees, "fit_forest", None)
+    collected, read = [], trees._collected
+    monkeypatch.setattr(trees, "_collected", lambda rows: collected.append(1) or read(rows))
+    grid = {"numTrees": [2, 4], "maxDepth": [2, 6], "minInstancesPerNode": [2]}
+    model, results = classifiers.tune(df, COLUMNS, classifiers.FOREST, grid=grid, folds=2)
+    assert results.count() == 4 and not collected
+    assert model.predict(df).where("predicted = skill_tier").count() > 180 and len(collected) == 1
