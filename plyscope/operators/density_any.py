@@ -58,8 +58,10 @@ def _parts(members: DataFrame, part_rows: int, prefix: str) -> DataFrame:
     return rows.select("cell", *[F.col(f"r.{c}").alias(f"{prefix}{c}") for c in ("loc", "copies", "core")], F.flatten("r.v").alias(f"{prefix}v"))
 
 
-def _blocks(members: DataFrame, part_rows: int) -> DataFrame:
-    return _parts(members.where("home"), part_rows, "a_").join(_parts(members, part_rows, "b_"), "cell").drop("cell")
+def _blocks(members: DataFrame, part_rows: int, tasks: int) -> DataFrame:
+    """Pairs of parts of a cell; cells cost much and are small, so their number sets that of the tasks."""
+    a, b = _parts(members.where("home"), part_rows, "a_"), _parts(members, part_rows, "b_")
+    return a.repartition(tasks, "cell").join(b.repartition(tasks, "cell"), "cell").drop("cell")
 
 
 def _within(row, d: int, eps: float) -> np.ndarray:
@@ -120,7 +122,8 @@ def density_clusters_any(
                 yield pd.DataFrame({"loc": np.asarray(row.a_loc), "near": near})
 
     plain = members.withColumn("core", F.lit(False))
-    counts = _blocks(plain, part_rows).mapInPandas(count, "loc long, near long").groupBy("loc").agg(F.sum("near").alias("near"))
+    tasks = (members.agg(F.max("cell")).first()[0] or 0) + 1
+    counts = _blocks(plain, part_rows, tasks).mapInPandas(count, "loc long, near long").groupBy("loc").agg(F.sum("near").alias("near"))
     flags = cut_lineage(counts.select("loc", (F.col("near") >= min_points).alias("core")))
 
     def link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -137,7 +140,7 @@ def density_clusters_any(
                 reached = pd.DataFrame({"s": a[edge], "t": columns[near], "border": True}).drop_duplicates()
                 yield reached
 
-    found = _blocks(members.join(flags, "loc"), part_rows).mapInPandas(link, "s long, t long, border boolean")
+    found = _blocks(members.join(flags, "loc"), part_rows, tasks).mapInPandas(link, "s long, t long, border boolean")
     found = cut_lineage(found.distinct())
     core = locations.join(flags.where("core"), "loc")
     roots = connected(found.where("not border").select("s", "t"))

@@ -48,3 +48,13 @@ def test_fits_are_shared(monkeypatch):
     for folder in ("some", "some", "other"):
         assert tables.once(spark, folder, "x", lambda: calls.append(1) or len(calls)) == len(calls)
     assert len(calls) == 2
+
+
+def test_players_are_written_once(monkeypatch):
+    monkeypatch.setattr(tables, "_MADE", {})
+    made = []
+    monkeypatch.setattr(tables, "players", lambda *_, **options: made.append(options))
+    monkeypatch.setattr(tables, "stored", lambda df, name: (len(made), name))
+    spark = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="none"))
+    assert tables.stored_players(spark, "a") == tables.stored_players(spark, "a") == (1, "players")
+    assert tables.stored_players(spark, "a", min_games=9) == (2, "players") and len(made) == 2

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from plyscope.operators import classifiers, clusters, indices, microclusters, profiles, reports, scaling
 from plyscope.operators.density import core_flags, density_clusters
 from plyscope.operators.density_any import density_clusters_any
-from plyscope.operators.players import fold_sides
+from plyscope.operators.players import fold_sides, player_profiles
 from plyscope.plans.analysis import summary_record
 from plyscope.schema import STYLE_FEATURES
 from plyscope.session import scratch_path
@@ -407,9 +407,10 @@ def _(spark, sf):
         JOIN (SELECT player FROM players) USING (player)""",
 )
 def _(spark, sf):
-    sides = fold_sides(features(spark, sf), extra=["time_control_category"])
-    strata = stored(clusters.dominant_control(sides), "strata")
-    found = clusters.cluster_by_stratum(stored_players(spark, sf), strata, STYLE, drop_outliers=True)
+    # both the controls and the profiles come from the games
+    made = stored(features(spark, sf), "features")
+    strata = stored(clusters.dominant_control(fold_sides(made, extra=["time_control_category"])), "strata")
+    found = clusters.cluster_by_stratum(stored(player_profiles(made), "players"), strata, STYLE, drop_outliers=True)
     # too small a stratum or a missing feature leaves the cluster open; all others have one of the three
     placed = F.coalesce(F.col("cluster").between(0, 2) & F.col("x").isNotNull() & F.col("outlier").isNotNull(), F.lit(True))
     return found.select("player", "time_control_category", placed.alias("placed"))
