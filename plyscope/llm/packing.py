@@ -29,11 +29,26 @@ GROUP_ITEMS = 256
 PIECE_TOKENS = 512
 #: Words that a task keeps with their ids; others are encoded where they occur.
 CACHED_WORDS = 400_000
+#: Words with marks behind them are kept among the first so many.
+MARKED_WORDS = 50_000
 WINDOW_BITS = 20
 
-_PLAIN = re.compile("[a-zß-öø-ÿ]+")
-#: Latin letters, written in one or two bytes, and the ASCII marks behind them, which are tokens apart from the letters.
-_MARKED = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@[-`{-~]+)")
+#: Letters beyond ASCII of two bytes, small ones alone and all, between ASCII letters.
+_PLAIN = re.compile(rb"[a-z]*(?:\xc3[\x9f-\xb6\xb8-\xbf][a-z]*)+")
+_LETTERS = re.compile(rb"[a-z]*(?:\xc3[\x80-\x96\x98-\xb6\xb8-\xbf][a-z]*)+")
+#: ASCII marks; behind letters they are tokens apart from them.
+_MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+
+
+class _Known(dict):
+    """Ids of words; a word that is not there is asked for."""
+
+    def __init__(self, missing):
+        super().__init__()
+        self.missing = missing
+
+    def __missing__(self, word: bytes) -> bytes:
+        return self.missing(word)
 
 
 class WordEncoder:
@@ -47,7 +62,8 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.model = self.tokenizer.model
         self.stand_in = {b: self._stand_in(b) for b in range(256)}
-        self.known: dict[bytes, bytes] = {}
+        self.written = [n.to_bytes(4, "little") for n in range(self.tokenizer.get_vocab_size())]
+        self.known = _Known(self._missing)
 
     @staticmethod
     @functools.cache
@@ -56,47 +72,33 @@ class WordEncoder:
         return chr(byte) if byte in shown else chr(256 + [b for b in range(256) if b not in shown].index(byte))
 
     def word(self, word: bytes) -> bytes:
-        text = word.decode("utf-8")
-        if _PLAIN.fullmatch(text):
-            # letters that no rule changes or splits: merge them right away
-            spelled = text if text.isascii() else "".join(self.stand_in[b] for b in word)
-            ids = [t.id for t in self.model.tokenize(spelled)]
+        # letters that no rule changes or splits are merged right away
+        if word.isalpha() and word.islower():
+            spelled = word.decode("ascii")
+        elif _PLAIN.fullmatch(word):
+            spelled = "".join([self.stand_in[b] for b in word])
         else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+            ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
+            return np.array(ids, dtype="<u4").tobytes()
+        written = self.written
+        return b"".join([written[t.id] for t in self.model.tokenize(spelled)])
 
     def text(self, data: bytes) -> bytes:
         """Little-endian ids of a text in UTF-8."""
         # special tokens are written in small letters; changing case must not make one
         words = (data if b"<|" in data else data.lower()).split()
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
-        out = []
-        for w in words:
-            ids = known.get(w)
-            if ids is None:
-                ids = self._missing(w)
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.known.__getitem__, words))
 
     def _missing(self, word: bytes) -> bytes:
-        parts = _MARKED.fullmatch(word)
-        if parts is None:
-            return self._kept(word)
-        ids = b"".join(map(self._kept, parts.groups()))
-        if len(self.known) < CACHED_WORDS:
-            self.known[word] = ids
-        return ids
-
-    def _kept(self, word: bytes) -> bytes:
-        ids = self.known.get(word)
-        if ids is None:
-            ids = self.word(word)
-            if len(self.known) < CACHED_WORDS:
-                self.known[word] = ids
+        known = self.known
+        bare = word.rstrip(_MARKS)
+        if len(bare) < len(word) and ((bare.isalpha() and bare.islower()) or _LETTERS.fullmatch(bare)):
+            # cheap to put together, so room is kept for words
+            ids, limit = known[bare] + known[word[len(bare) :]], MARKED_WORDS
+        else:
+            ids, limit = self.word(word), CACHED_WORDS
+        if len(known) < limit:
+            known[word] = ids
         return ids
 
 

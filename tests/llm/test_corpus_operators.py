@@ -642,6 +642,20 @@ def test_packing(spark, awkward):
     assert packing.pack(packing.token_pieces(docs_of(spark, []), WORD)).count() == 0
 
 
+def test_words_with_marks_leave_room_for_words(monkeypatch):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(WORD)
+    texts = ["one, two. three!! four; five", "été, über. ÀB! ÷x, a'll, it's! don't.", "six, seven! six; <|endoftext|>, (x) ..", "ß. 中文! ein, zwei,"]
+    monkeypatch.setattr(packing, "MARKED_WORDS", 2)
+    coder = packing.WordEncoder(WORD)
+    for text in texts * 2:
+        want = t.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(coder.text(text.encode()), "<u4").tolist() == want
+    assert {b"three", b"four", b"seven", b"zwei"} <= set(coder.known)
+    assert not {b"three!!", b"four;", b"seven!", b"zwei,"} & set(coder.known)
+
+
 def test_differencing_balances():
     rng = np.random.default_rng(10)
     for n in (1, 2, 7, 60, 200):
