@@ -57,7 +57,9 @@ def draws(term: Column, sample: Column) -> tuple[Column, Column, Column]:
 def bid(drawn: tuple[Column, Column, Column], log_weight: Column) -> Column:
     """The bid of a term for one sample, the smaller, the better; NULL without a weight."""
     r, log_c, b = drawn
-    return log_c - r * (F.floor(log_weight / r + b) - b + 1.0)
+    # most words stand once in a text; their t is the whole part of b, zero
+    t = F.when(log_weight == 0.0, F.lit(0).cast("long")).otherwise(F.floor(log_weight / r + b))
+    return log_c - r * (t - b + 1.0)
 
 
 def fingerprints(terms: DataFrame, keys: list[str], weights: dict[str, str], kept: list[Column] | None = None) -> DataFrame:

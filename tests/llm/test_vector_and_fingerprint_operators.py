@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import math
 
 import numpy as np
 import pytest
@@ -224,3 +225,12 @@ def test_likeness_follows_the_texts(spark, sf):
 def test_fingerprints_use_no_python(spark, sf):
     plan = QUERIES["op13_weighted_sampling"](spark, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_bid_of_weight_one_is_not_divided(spark):
+    rows = [(0.0, 0.25, 0.0), (1.5, 0.25, 0.0), (1.5, 0.75, 1.0), (0.5, 0.9, 2.0), (1.5, 0.5, None)]
+    drawn = spark.createDataFrame(rows, "r double, b double, l double")
+    got = drawn.select("r", "b", "l", fingerprints.bid((F.col("r"), F.lit(0.125), F.col("b")), F.col("l")).alias("bid")).collect()
+    for r, b, log_weight, bid in got:
+        t = None if log_weight is None else 0 if log_weight == 0 else math.floor(log_weight / r + b)
+        assert bid == (None if t is None else 0.125 - r * (t - b + 1.0))
