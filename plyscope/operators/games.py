@@ -11,6 +11,8 @@ from plyscope.functions.tiers import control_flag
 from plyscope.schema import CONTROL_FLAGS, DEFAULT_BASE_TIME, PHASES
 
 COMPLEXITY_FLOOR = 1e-3
+#: Prefix of position measures that the games carry already, so that their plies are read once.
+CARRIED = "_positions_"
 
 
 def with_default_columns(games: DataFrame) -> DataFrame:
@@ -45,13 +47,18 @@ def with_control_flags(games: DataFrame) -> DataFrame:
     return games.withColumns({f: control_flag(category, f.removeprefix("is_")) for f in CONTROL_FLAGS})
 
 
+def position_measures(prefix: str = "") -> list[Column]:
+    """Aggregates of a game's positions: share with unequal material, and mean legal moves."""
+    uneven = (F.col("white_material") != F.col("black_material")).cast("double")
+    return [
+        F.coalesce(F.avg(uneven), F.lit(0.0)).alias(f"{prefix}material_imbalance_freq"),
+        F.coalesce(F.avg("n_legal_moves"), F.lit(board.IDLE_ACTIVITY)).alias(f"{prefix}piece_activity_score"),
+    ]
+
+
 def position_features(positions: DataFrame) -> DataFrame:
     """Per game: share of positions with unequal material, and mean legal moves."""
-    uneven = (F.col("white_material") != F.col("black_material")).cast("double")
-    return positions.groupBy("game_id").agg(
-        F.coalesce(F.avg(uneven), F.lit(0.0)).alias("material_imbalance_freq"),
-        F.coalesce(F.avg("n_legal_moves"), F.lit(board.IDLE_ACTIVITY)).alias("piece_activity_score"),
-    )
+    return positions.groupBy("game_id").agg(*position_measures())
 
 
 def material_points(pawns, knights, bishops, rooks, queens) -> Column:
@@ -59,8 +66,8 @@ def material_points(pawns, knights, bishops, rooks, queens) -> Column:
     return pawns * 1 + knights * 3 + bishops * 3 + rooks * 5 + queens * 9
 
 
-def with_board_features(games: DataFrame, positions: DataFrame | None = None) -> DataFrame:
-    """Complexity from the moves; imbalance and activity from positions if given."""
+def with_board_features(games: DataFrame, positions: DataFrame | str | None = None) -> DataFrame:
+    """Complexity from the moves; imbalance and activity from positions if given, a table or ``CARRIED``."""
     df = games.withColumn("_sans", board.san_list(F.col("moves")))
     sans = F.col("_sans")
     df = df.withColumn("avg_position_complexity", board.position_complexity(sans))
@@ -71,16 +78,18 @@ def with_board_features(games: DataFrame, positions: DataFrame | None = None) ->
                 "piece_activity_score": board.length_activity(sans),
             }
         )
-    joined = df.join(position_features(positions), "game_id", "left")
+    if isinstance(positions, DataFrame):
+        measures = position_features(positions)
+        renamed = measures.withColumnsRenamed({c: CARRIED + c for c in measures.columns if c != "game_id"})
+        df = df.join(renamed, "game_id", "left")
     played = F.size(sans) > 0
-    return joined.withColumns(
-        {
-            "material_imbalance_freq": F.when(played, F.coalesce("material_imbalance_freq", F.lit(0.0))),
-            "piece_activity_score": F.when(
-                played, F.coalesce("piece_activity_score", F.lit(board.IDLE_ACTIVITY))
-            ),
-        }
-    )
+    measured = {
+        "material_imbalance_freq": F.when(played, F.coalesce(f"{CARRIED}material_imbalance_freq", F.lit(0.0))),
+        "piece_activity_score": F.when(
+            played, F.coalesce(f"{CARRIED}piece_activity_score", F.lit(board.IDLE_ACTIVITY))
+        ),
+    }
+    return df.withColumns(measured).drop(*[CARRIED + c for c in measured])
 
 
 def with_opening_features(games: DataFrame) -> DataFrame:
@@ -123,13 +132,14 @@ def with_pace(games: DataFrame, white_only: bool = True) -> DataFrame:
 
 def game_features(
     games_full: DataFrame,
-    positions: DataFrame | None = None,
+    positions: DataFrame | str | None = None,
     white_only_pace: bool = True,
     evaluations: str | None = None,
 ) -> DataFrame:
     """All features of every game, one output row per input row.
 
-    ``positions`` replaces the move-string stand-ins for imbalance and activity;
+    ``positions`` replaces the move-string stand-ins for imbalance and activity: a table, or ``CARRIED`` where the games
+    were grouped with ``position_measures(CARRIED)``;
     ``evaluations`` names an array column and adds the move-quality measures.
     """
     if "moves" not in games_full.columns:

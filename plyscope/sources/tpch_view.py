@@ -8,7 +8,9 @@ that no task sorts a whole supplier.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plyscope.operators.players import with_game_tiers
 from plyscope.operators.ranking import bucketed_row_number
@@ -40,7 +42,9 @@ def plies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per ply with its clock reading, move string, evaluation and board counts."""
     lines = numbered_lines(table(spark, sf_dir, "lineitem"))
     players = table(spark, sf_dir, "supplier").select(F.count(F.lit(1)).alias("n"))
+    # only what a ply is made from moves to its game; all else is worked out where the game meets
     shaped = lines.selectExpr(
+        f"l_suppkey * {GAME_STRIDE} + rn DIV {PLIES_PER_GAME} AS game_id",
         "l_suppkey AS w",
         f"rn DIV {PLIES_PER_GAME} AS g",
         f"int(rn % {PLIES_PER_GAME}) AS ply",
@@ -48,20 +52,19 @@ def plies(spark: SparkSession, sf_dir: str) -> DataFrame:
         "bigint(l_linenumber) AS ln",
         "floor(l_extendedprice) AS price",
         "l_tax > 0.075D AS hidden",
-        "l_returnflag AS flag",
-        "l_linestatus AS status",
-    ).selectExpr("*", "element_at(array(60, 180, 300, 600, 900), int(g % 5 + 1)) AS base_time")
-    rows = shaped.select(
+        "l_returnflag = 'A' AS takes",
+        "l_linestatus = 'F' AS checks",
+    ).selectExpr("*", f"q * {BASE_TIME} DIV 6 - if(ply % 8 < 2, 300, 0) AS cost")
+    rows = shaped.select("*", F.expr(USED).alias("used"))
+    return rows.select(
         *[
             F.expr(text)
             for text in (
-                f"w * {GAME_STRIDE} + g AS game_id",
+                "game_id",
                 "w",
                 "g",
                 "ply",
-                "base_time",
-                "q * base_time DIV 6 - if(ply % 8 < 2, 300, 0) AS cost",
-                "hidden",
+                f"{BASE_TIME} AS base_time",
                 SAN + " AS san",
                 "price % 600 - 300 AS eval_cp",
                 "39 - q % 4 AS white_material",
@@ -70,37 +73,37 @@ def plies(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ],
         (F.expr("w * 7 + g * 13 + 1") % players.scalar()).alias("b"),
+        F.expr(f"if(hidden, NULL, greatest(0, {BASE_TIME} * 100 - used) / 100D)").alias("clock"),
     )
-    return rows.withColumn("clock", F.expr(CLOCK)).drop("cost", "hidden")
 
 
+BASE_TIME = "element_at(array(60, 180, 300, 600, 900), int(g % 5 + 1))"
+
 SAN = """concat(
     element_at(array('', 'N', 'B', 'R', 'Q'), int(ln % 5 + 1)),
-    if(flag = 'A', 'x', ''), char(97 + q % 8), string(1 + ln % 8),
+    if(takes, 'x', ''), char(97 + q % 8), string(1 + ln % 8),
     if(ln % 5 = 0 AND q % 11 = 0, '=Q', ''),
-    CASE WHEN q = 50 THEN '#' WHEN status = 'F' AND q % 5 = 0 THEN '+' ELSE '' END)"""
+    CASE WHEN q = 50 THEN '#' WHEN checks AND q % 5 = 0 THEN '+' ELSE '' END)"""
 
-# Seconds left, from the running cost of this colour's moves in the game. Partitioned by
-# the game alone (the other colour's cost counts as zero), so that the grouping into games
-# needs no further shuffle.
+# Running cost of this colour's moves in the game. Partitioned by the game alone (the other
+# colour's cost counts as zero), so that the grouping into games needs no further shuffle.
 _so_far = "OVER (PARTITION BY game_id ORDER BY ply ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-CLOCK = f"""if(hidden, NULL, greatest(0, base_time * 100 - if(ply % 2 = 0,
-    sum(if(ply % 2 = 0, cost, 0)) {_so_far}, sum(if(ply % 2 = 1, cost, 0)) {_so_far})) / 100D)"""
+USED = f"if(ply % 2 = 0, sum(if(ply % 2 = 0, cost, 0)) {_so_far}, sum(if(ply % 2 = 1, cost, 0)) {_so_far})"
 
 
 def in_ply_order(value: str, side: int | None = None) -> str:
     """A game's values as an array, all plies or one colour's."""
     entry = f"struct(ply, {value} AS v)"
     listed = entry if side is None else f"if(ply % 2 = {side}, {entry}, NULL)"
-    return f"transform(array_sort(collect_list({listed})), e -> e.v)"
+    return f"transform(sort_array(collect_list({listed})), e -> e.v)"
 
 
 def _rating(player: str) -> str:
     return f"int(700 + ({player} * 371) % 1600 + (g * 11) % 120)"
 
 
-def games_full(plies_df: DataFrame) -> DataFrame:
-    """One row per game with move list, clock arrays and evaluations."""
+def games_full(plies_df: DataFrame, measures: Sequence[Column] = ()) -> DataFrame:
+    """One row per game with move list, clock arrays and evaluations; ``measures`` are further aggregates of its plies."""
     grouped = plies_df.groupBy("game_id").agg(
         *[
             F.expr(text)
@@ -115,7 +118,8 @@ def games_full(plies_df: DataFrame) -> DataFrame:
                 f"{in_ply_order('clock', 1)} AS clock_times_black",
                 f"{in_ply_order('double(eval_cp)')} AS evaluations",
             )
-        ]
+        ],
+        *measures,
     )
     letter = "char(65 + (w + g) % 5)"
     described = grouped.selectExpr(
@@ -138,6 +142,7 @@ def games_full(plies_df: DataFrame) -> DataFrame:
         "clock_times_white",
         "clock_times_black",
         "evaluations",
+        *grouped.columns[grouped.columns.index("evaluations") + 1 :],
     )
     return with_game_tiers(described)
 

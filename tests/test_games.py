@@ -11,6 +11,7 @@ from plyscope.functions.tiers import base_seconds, tier_code, tier_of, tier_posi
 from plyscope.operators.games import game_features, position_features, with_clock_data
 from plyscope.operators.ratios import with_ratios
 from plyscope.schema import FOUR_TIERS
+from plyscope.sources import tpch_view
 from plyscope.sources.tables import materialise, read_features
 from verification import tables
 
@@ -175,3 +176,20 @@ def test_feature_width(spark, sf):
     df = tables.features(spark, sf)
     assert len(df.columns) == 40
     assert len(tables.players(spark, sf).columns) == 38
+
+
+def test_plies_are_numbered_once_for_games_and_positions(spark, tmp_path):
+    """The measures that games carry are those of a table of positions, without a second pass over the plies."""
+    rows = """SELECT id AS l_orderkey, id % 7 AS l_partkey, id % 3 AS l_suppkey, int(id % 4) AS l_linenumber, double(1 + id * 7 % 50) AS l_quantity,
+        double(id * 37 % 900) AS l_extendedprice, 0.05D AS l_discount, if(id % 11 = 0, NULL, id % 9 / 100D) AS l_tax,
+        if(id % 5 = 0, NULL, if(id % 2 = 0, 'A', 'N')) AS l_returnflag, if(id % 3 = 0, 'F', 'O') AS l_linestatus,
+        date_add(date '2020-01-01', int(id % 400)) AS l_shipdate FROM range(300)"""
+    spark.sql(rows).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(3).withColumnRenamed("id", "s_suppkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    carried = tables.features(spark, str(tmp_path))
+    plies = tables.plies(spark, str(tmp_path))
+    joined = game_features(tpch_view.games_full(plies), tpch_view.positions(plies))
+    assert carried.columns == joined.columns and carried.count() == 9
+    assert carried.exceptAll(joined).isEmpty() and joined.exceptAll(carried).isEmpty()
+    plan = carried._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("row_number()") == 1
