@@ -40,7 +40,7 @@ def nearest_in_class(
     tiles by hash. A tile has a bounding ball. The queries of a tile first meet the tiles of their own pivot, which
     bounds the distance of their k-th neighbour; after that they meet only tiles whose balls reach into that bound, and
     within such a pair only the queries that the ball can concern. A pair of tiles is a bounded numpy block that
-    returns k candidates per query row, and the best k of those are the answer. Ties go to the smaller key.
+    returns up to k candidates per query row within its bound, and the best k of those are the answer. Ties go to the smaller key.
     """
     tiles = {c: tile_count(n, tile_rows) for c, n in class_sizes.items()}
     left, right = placed_tiles(queries, rows, columns, label, key, class_sizes, tiles)
@@ -103,6 +103,46 @@ def placed_tiles(queries, rows, columns, label, key, class_sizes: dict, tiles: d
     return packed(queries, "q_"), packed(rows, "r_")
 
 
+def nearest_rows(a: np.ndarray, b: np.ndarray, k: int, bounds: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in ``a`` and ``b`` and distances of the k rows of ``b`` nearest each row of ``a`` (and within its bound), nearest first.
+
+    One matrix product gives squared distances but for rounding, whose size is bounded; only the pairs that may be among
+    the answer are measured coordinate by coordinate. Ties go to the row that stands first.
+    """
+    width = a.shape[1]
+    center = b.mean(axis=0)
+    p, q = a - center, b - center
+    with np.errstate(invalid="ignore", over="ignore"):
+        pp, qq = (p * p).sum(axis=1), (q * q).sum(axis=1)
+        # squared distances less pp
+        rough = np.column_stack([-2.0 * p, np.ones(len(p))]) @ np.column_stack([q, qq]).T
+    if not (np.isfinite(rough).all() and np.isfinite(pp).all()):
+        gaps = block_distances(a, b)
+        j = np.argsort(gaps, axis=1, kind="stable")[:, :k]
+        i, j = np.repeat(np.arange(len(a)), j.shape[1]), j.ravel()
+        distance = gaps[i, j]
+    else:
+        slack = 8 * (width + 8) * np.finfo(float).eps * (pp + qq.max(initial=0.0))
+        limit = np.full(len(a), np.inf) if bounds is None else bounds**2 * (1 + 1e-12) - pp + slack
+        near = rough <= limit[:, None]
+        many = np.flatnonzero(np.count_nonzero(near, axis=1) > 4 * k)
+        if len(many):
+            some = rough[many]
+            limit[many] = np.minimum(limit[many], np.partition(some, k - 1, axis=1)[:, k - 1] + 2 * slack[many])
+            near[many] = some <= limit[many][:, None]
+        i, j = np.nonzero(near)
+        squares = np.zeros(len(i))
+        for c in range(width):
+            squares += (a[i, c] - b[j, c]) ** 2
+        distance = np.sqrt(squares)
+        order = np.lexsort((j, distance, i))
+        rank = np.arange(len(i)) - np.searchsorted(i, i)
+        order = order[rank < k]
+        i, j, distance = i[order], j[order], distance[order]
+    keep = slice(None) if bounds is None else ~(distance > bounds[i])
+    return i[keep], j[keep], distance[keep]
+
+
 def _candidates(pairs: DataFrame, columns: list[str], k: int) -> DataFrame:
     """(key, neighbour, distance): the k best of every pair of tiles for each of its queries."""
     width = len(columns)
@@ -113,25 +153,19 @@ def _candidates(pairs: DataFrame, columns: list[str], k: int) -> DataFrame:
             for row in frame.itertuples(index=False):
                 a = np.asarray(row.q_points, dtype=float).reshape(-1, width)
                 b = np.asarray(row.r_points, dtype=float).reshape(-1, width)
-                ids, names = np.asarray(row.r_key), np.asarray(row.q_key)
+                ids, names, bounds = np.asarray(row.r_key), np.asarray(row.q_key), None
                 if bounded:
+                    bounds = np.asarray(row.q_bounds, dtype=float)
                     center = b.mean(axis=0)
                     radius = np.sqrt(((b - center) ** 2).sum(axis=1)).max()
                     reach = np.sqrt(((a - center) ** 2).sum(axis=1)) - radius
-                    some = reach <= np.asarray(row.q_bounds) * (1 + 1e-9) + 1e-9
-                    a, names = a[some], names[some]
+                    some = reach <= bounds * (1 + 1e-9) + 1e-9
+                    a, names, bounds = a[some], names[some], bounds[some]
                     if not len(a):
                         continue
                 by_id = np.argsort(ids, kind="stable")
-                gaps = block_distances(a, b[by_id])
-                best = np.argsort(gaps, axis=1, kind="stable")[:, : k + 1]
-                yield pd.DataFrame(
-                    {
-                        "key": np.repeat(names, best.shape[1]),
-                        "neighbour": ids[by_id][best].ravel(),
-                        "distance": np.take_along_axis(gaps, best, axis=1).ravel(),
-                    }
-                )
+                i, j, distance = nearest_rows(a, b[by_id], k + 1, bounds)
+                yield pd.DataFrame({"key": names[i], "neighbour": ids[by_id][j], "distance": distance})
 
     return pairs.mapInPandas(candidates, "key string, neighbour string, distance double")
 

@@ -25,7 +25,8 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from plyscope.schema import SEED
 from plyscope.session import cut_lineage, scratch_path
@@ -225,11 +226,15 @@ class Growth:
 
     def histograms(self, x, stats, node, count, chosen) -> np.ndarray:
         """Sums by (open node, candidate, bin); ``node`` numbers the rows' open nodes, ``chosen`` lists their candidates."""
-        k = chosen.shape[1]
-        cells = (node[:, None] * k + np.arange(k)) * self.bins + x[np.arange(len(x))[:, None], chosen[node]]
-        flat, size = cells.ravel(), count * k * self.bins
-        sums = [np.bincount(flat, np.repeat(stats[:, j], k), size) for j in range(stats.shape[1])]
-        return np.stack(sums, axis=-1).reshape(count, k, self.bins, -1)
+        k, size, everyone = chosen.shape[1], count * self.bins, np.arange(len(x))
+        total, columns = np.empty((count, k, self.bins, stats.shape[1])), [np.ascontiguousarray(s) for s in stats.T]
+        shared = not self.per_node or self.drawn >= self.features
+        # a candidate after the other, whose cells stay in the caches
+        for c in range(k):
+            cells = node * self.bins + (x[:, chosen[0, c]] if shared else x[everyone, chosen[node, c]])
+            for j, s in enumerate(columns):
+                total[:, c, :, j] = np.bincount(cells, s, size).reshape(count, self.bins)
+        return total
 
     def best(self, hist: np.ndarray, chosen: np.ndarray):
         """Per open node: candidate feature, cut, gain and the sums of both sides; a gain of 0 means no split."""
@@ -321,6 +326,18 @@ def grow_all(data: DataFrame, growth: Growth, trees: list[Tree], stats_of, group
     ``stats_of(rows, tree number)`` gives the rows' G columns, H and count in that tree. Nodes of at most a block of rows
     wait until no larger one is open and are then grown to their ends, each where its rows meet.
     """
+    few = _upper(data, growth, trees, stats_of, groups)
+    if few:
+        grown = data.sparkSession.sparkContext.broadcast([Tree(**vars(t)) for t in trees])
+        for r in _below(data, growth, grown, few, stats_of).collect():
+            trees[r["i"]].graft(r["n"], _unpickled(r["sub"]))
+        grown.unpersist()
+        for t in trees:
+            vars(t).update(vars(t.by_level()))
+
+
+def _upper(data: DataFrame, growth: Growth, trees: list[Tree], stats_of, groups: int = 64) -> list[tuple[int, int]]:
+    """Grow the nodes of more than a block of rows; returns the open ones that are left (place of the tree, node)."""
     width = growth.targets + 2
     wanted = max(1, CELLS // (growth.drawn * growth.bins * width))
     spark = data.sparkSession
@@ -348,21 +365,22 @@ def grow_all(data: DataFrame, growth: Growth, trees: list[Tree], stats_of, group
         grown.unpersist()
     for t in trees:
         t.open = []
-    if few:
-        for i, n, sub in _below(data, growth, trees, few, stats_of):
-            trees[i].graft(n, sub)
-        for t in trees:
-            vars(t).update(vars(t.by_level()))
+    return few
+
+
+def _unpickled(data: bytes):
+    import pickle
+
+    return pickle.loads(data)
 
 
-def _below(data: DataFrame, growth: Growth, trees: list[Tree], few: list[tuple[int, int]], stats_of) -> list[tuple[int, int, Tree]]:
-    """What grows below some nodes, from their rows, which are sent to a group for each node."""
+def _below(data: DataFrame, growth: Growth, grown, few: list[tuple[int, int]], stats_of) -> DataFrame:
+    """i, n, sub: what grows below some nodes, from their rows, which are sent to a group for each node."""
     import pickle
 
     by_tree: dict[int, list[int]] = {}
     for i, n in few:
         by_tree.setdefault(i, []).append(n)
-    grown = data.sparkSession.sparkContext.broadcast([Tree(**vars(t)) for t in trees])
     columns = growth.targets + 2
 
     def send(batches):
@@ -371,10 +389,13 @@ def _below(data: DataFrame, growth: Growth, trees: list[Tree], few: list[tuple[i
                 rows = Rows.of(r)
                 for i, nodes in by_tree.items():
                     tree = grown.value[i]
-                    stats, here = stats_of(rows, tree.number), tree.route(rows.x)
-                    here = np.where(stats[:, -1] > 0, here, -1)
-                    for n in nodes:
-                        at = np.flatnonzero(here == n)
+                    stats, place = stats_of(rows, tree.number), np.full(len(tree.feature), len(nodes))
+                    place[nodes] = np.arange(len(nodes))
+                    here = np.where(stats[:, -1] > 0, place[tree.route(rows.x)], len(nodes))
+                    order = np.argsort(here, kind="stable")
+                    ends = np.searchsorted(here[order], np.arange(len(nodes) + 1))
+                    for k, n in enumerate(nodes):
+                        at = order[ends[k] : ends[k + 1]]
                         if len(at):
                             cells = [pa.array([v]) for v in (i, n)] + [pa.array([v[at].tobytes()], pa.binary()) for v in (rows.x, np.ascontiguousarray(stats, "<f8"))]
                             yield pa.RecordBatch.from_arrays(cells, names=["i", "n", "x", "stats"])
@@ -392,9 +413,7 @@ def _below(data: DataFrame, growth: Growth, trees: list[Tree], few: list[tuple[i
     sent = data.mapInArrow(send, "i long, n long, x binary, stats binary")
     # few groups with much to do: more partitions than groups, so that hardly any task gets several
     sent = sent.repartition(min(4 * len(few), 1024), "i", "n")
-    rows = sent.groupBy("i", "n").applyInArrow(grow, "i long, n long, sub binary").collect()
-    grown.unpersist()
-    return [(r["i"], r["n"], pickle.loads(r["sub"])) for r in rows]
+    return sent.groupBy("i", "n").applyInArrow(grow, "i long, n long, sub binary")
 
 
 def _summed(data: DataFrame, numbers: list[int], stats_of) -> list[dict]:
@@ -630,6 +649,148 @@ def stored_forest(data: DataFrame, edges, classes: int, trees: int, depth: int,
     return StoredForest(classes, edges, data.sparkSession.read.schema(NODES).parquet(path))
 
 
+class TaskForest:
+    """A forest whose trees stay in the shared folder, a folder each; rows are scored and importances made in tasks.
+
+    A task reads one tree after the other for every block of rows it scores, so it holds a tree and a block at a time.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, classes: int, edges: list[list[float]], trees: int):
+        self.spark, self.path, self.classes, self.edges, self.trees = spark, path, classes, edges, trees
+
+    @classmethod
+    def fit(cls, data: DataFrame, edges, classes: int, trees: int, depth: int, least_rows: int, seed: int = SEED) -> TaskForest:
+        """The trees of ``fit_forest``; over several blocks each is put together from its parts in a task."""
+        growth, stats_of = _forest(edges, classes, depth, least_rows, seed)
+        spark, path = data.sparkSession, scratch_path(data.sparkSession, "forest")
+        whole = _put_together(data, growth, stats_of, trees) if data.count() > 1 else _grown(data, growth, stats_of, trees)
+
+        def lean(batches):
+            for batch in batches:
+                for r in batch.to_pylist():
+                    yield _lean(r["tree"], _unpickled(r["columns"]), classes)
+
+        whole.mapInArrow(lean, NODES).write.partitionBy("tree").parquet(path)
+        return cls(spark, path, classes, edges, trees)
+
+    def transform(self, df: DataFrame, features: Column, name: str) -> DataFrame:
+        """Append the class probabilities of a column of feature arrays; a narrow pass."""
+        path, classes, edges, trees = self.path, self.classes, self.edges, self.trees
+
+        def score(batches):
+            held, size = [], 0
+            for batch in batches:
+                held.append(batch)
+                size += batch.num_rows
+                if size >= BLOCK_ROWS:
+                    yield from one(held)
+                    held, size = [], 0
+            if size:
+                yield from one(held)
+
+        def one(held):
+            t = pa.Table.from_batches(held)
+            v = t["_v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(t.num_rows, len(edges))
+            x, total = to_bins(v, edges), np.zeros((t.num_rows, classes))
+            for tree in _read_trees(path, trees):
+                total += tree["share"][_routed(tree, x)]
+            cells = pa.ListArray.from_arrays(pa.array(np.arange(t.num_rows + 1, dtype=np.int32) * classes), pa.array((total / trees).ravel()))
+            yield from t.drop_columns(["_v"]).append_column(name, cells).to_batches()
+
+        schema = StructType([*df.schema.fields, StructField(name, ArrayType(DoubleType()))])
+        return df.withColumn("_v", features).mapInArrow(score, schema)
+
+    def importances(self) -> np.ndarray:
+        """Gain of the splits on each feature, as a share of its tree's, averaged over the trees (as the Spark ML forest does)."""
+        width = len(self.edges)
+
+        def shares(batches):
+            for batch in batches:
+                for r in batch.to_pylist():
+                    tree = _unpickled(r["columns"])
+                    f = tree["feature"]
+                    total = np.bincount(f[f >= 0], tree["gain"][f >= 0], width)
+                    share = total / total.sum() if total.sum() > 0 else total
+                    yield pa.RecordBatch.from_arrays([pa.array([r["tree"]]), pa.array([share.tolist()], pa.list_(pa.float64()))], names=["tree", "share"])
+
+        # a few numbers for each tree
+        found = sorted(self._rows().mapInArrow(shares, "tree long, share array<double>").collect())
+        mean = np.sum([r["share"] for r in found], axis=0)
+        return mean / mean.sum() if mean.sum() > 0 else mean
+
+    def _rows(self) -> DataFrame:
+        return self.spark.read.schema(NODES).parquet(self.path)
+
+    def save(self, path: str) -> None:
+        self._rows().write.partitionBy("tree").mode("overwrite").parquet(f"{path}/trees")
+        meta = json.dumps({"classes": self.classes, "edges": self.edges, "trees": self.trees})
+        self.spark.createDataFrame([(meta,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> TaskForest:
+        return cls(spark, f"{path}/trees", **json.loads(spark.read.text(f"{path}/meta").first()["value"]))
+
+
+def _put_together(data: DataFrame, growth: Growth, stats_of, trees: int) -> DataFrame:
+    """The trees (``NODES``) over several blocks: upper nodes from histograms, the rest where rows meet, a group for each tree."""
+    spark, upper = data.sparkSession, [Tree(t) for t in range(trees)]
+    few = _upper(data, growth, upper, stats_of)
+    grown = spark.sparkContext.broadcast([Tree(**vars(t)) for t in upper])
+    subs = spark.createDataFrame([(i, -1, None) for i in range(trees)], "i long, n long, sub binary")
+    if few:
+        path = scratch_path(spark, "forest-parts")
+        _below(data, growth, grown, few, stats_of).write.parquet(path)
+        subs = subs.union(spark.read.schema(subs.schema).parquet(path))
+
+    def join(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = Tree(**{k: list(v) if isinstance(v, list) else v for k, v in vars(grown.value[key[0].as_py()]).items()})
+        for batch in batches:
+            for r in batch.to_pylist():
+                if r["sub"] is not None:
+                    tree.graft(r["n"], _unpickled(r["sub"]))
+        yield _nodes(tree.by_level())
+
+    return subs.repartition(min(trees, 4 * spark.sparkContext.defaultParallelism), "i").groupBy("i").applyInArrow(join, NODES)
+
+
+def _lean(number: int, tree: dict, classes: int) -> pa.RecordBatch:
+    """What scoring and importances need of a tree."""
+    import pickle
+
+    s = tree["sums"][:, :classes]
+    n = s.sum(axis=1, keepdims=True)
+    held = {
+        "feature": tree["feature"].astype(np.int16),
+        "cut": tree["cut"].astype(np.uint8),
+        "left": tree["left"].astype(np.int32),
+        "gain": tree["gain"].astype(float),
+        "share": np.divide(s, n, out=np.full(s.shape, 1.0 / classes), where=n > 0),
+        "depth": int(tree["depth"].max()),
+    }
+    return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([pickle.dumps(held)], pa.binary())], names=["tree", "columns"])
+
+
+def _routed(tree: dict, x: np.ndarray) -> np.ndarray:
+    """Leaf of every row."""
+    at, everyone = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
+    for _ in range(tree["depth"]):
+        f = tree["feature"][at]
+        at = np.where(f >= 0, tree["left"][at] + (x[everyone, np.maximum(f, 0)] > tree["cut"][at]), at)
+    return at
+
+
+def _read_trees(path: str, trees: int) -> Iterator[dict]:
+    """The stored trees in order, one at a time."""
+    from pyarrow import fs, parquet
+
+    store, place = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
+    for number in range(trees):
+        for info in store.get_file_info(fs.FileSelector(f"{place}/tree={number}")):
+            if info.path.endswith(".parquet"):
+                for r in parquet.ParquetFile(store.open_input_file(info.path)).read(["columns"]).to_pylist():
+                    yield _unpickled(r["columns"])
+
+
 def forest_hits(data: DataFrame, held: DataFrame, edges, classes: int, least_rows: int, sizes: list[int], depths: list[int], seed: int = SEED):
     """``hits`` of a forest on held rows; over one block its trees vote in the tasks that grow them and go nowhere else."""
     trees = max(sizes)

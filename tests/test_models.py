@@ -6,8 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plyscope.operators import classifiers, metrics, reports
-from plyscope.operators.oversample import nearest_in_class, oversample
+from plyscope.operators import classifiers, metrics, reports, trees
+from plyscope.operators.indices import block_distances
+from plyscope.operators.oversample import nearest_in_class, nearest_rows, oversample
 from plyscope.operators.scaling import fit_scaler
 
 # A published confusion matrix and the scores that belong to it.
@@ -163,6 +164,47 @@ def test_models_learn_save_and_compare(spark, tmp_path):
     assert scored.select("player", "predicted").exceptAll(again.select("player", "predicted")).isEmpty()
 
 
+def test_larger_tables_grow_their_forest_in_tasks(spark, tmp_path, monkeypatch):
+    """Beyond ``ML_ROWS`` no Spark ML forest is fitted; all kinds score, are saved and come back."""
+    _, df = class_rows(spark, {"a": 60, "d": 40, "g": 30})
+    monkeypatch.setattr(classifiers, "ML_ROWS", 100)
+    monkeypatch.setattr(classifiers, "RandomForestClassifier", None)
+    rows, results = classifiers.compare_models(df.withColumnRenamed("label", "skill_tier"), FEATURES, **SMALL)
+    assert all(r["test_accuracy"] > 0.8 for r in rows.collect())
+    model = results[classifiers.FOREST].model
+    assert isinstance(model.forest, trees.TaskForest) and model.boosted is None
+    assert sum(r["importance"] for r in model.importances(spark).collect()) == pytest.approx(1.0)
+    model.save(str(tmp_path / "m"))
+    again = classifiers.load_model(spark, str(tmp_path / "m")).predict(df)
+    scored = model.predict(df)
+    assert scored.columns == [*df.columns, "probability", "predicted"] and scored.count() == 130
+    assert scored.select("player", "predicted").exceptAll(again.select("player", "predicted")).isEmpty()
+    # parameters that only Spark ML knows are not passed over
+    with pytest.raises(TypeError):
+        classifiers.fit_model(df, FEATURES, ["a", "d", "g"], forest_params={"numTrees": 2, "maxBins": 8})
+
+
+@pytest.mark.parametrize("kind", ["spread", "ties", "copies", "far", "unknown"])
+def test_near_rows_are_those_of_a_full_sort(kind):
+    """Only pairs that may be among the answer are measured; order, ties and distances are those of all pairs."""
+    rng = np.random.default_rng(5)
+    a, b = rng.standard_normal((60, 6)), rng.standard_normal((80, 6))
+    if kind == "ties":
+        a, b = np.round(a), np.round(b)
+    elif kind == "copies":
+        a[:30], b[:] = b[0], b[0]
+    elif kind == "far":
+        a, b = a + 1e8, b + 1e8
+    elif kind == "unknown":
+        a[2, 0] = b[3, 1] = np.nan
+    gaps = block_distances(a, b)
+    for bounds in (None, np.where(rng.random(60) < 0.2, np.inf, rng.random(60) * 3)):
+        i, j, distance = nearest_rows(a, b, 6, bounds)
+        best = np.argsort(gaps, axis=1, kind="stable")[:, :6]
+        wanted = [(r, c, gaps[r, c]) for r in range(60) for c in best[r] if bounds is None or not gaps[r, c] > bounds[r]]
+        assert len(i) == len(wanted) and np.array_equal(np.column_stack([i, j, distance]), np.array(wanted), equal_nan=True)
+
+
 def test_class_weights_instead_of_synthetic_rows(spark):
     _, df = class_rows(spark, {"a": 60, "d": 12})
     model = classifiers.fit_model(df, FEATURES, ["a", "d"], balance="weights", **SMALL)

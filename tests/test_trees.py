@@ -7,6 +7,7 @@ import json
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from plyscope.operators import classifiers, trees
 
@@ -145,3 +146,37 @@ def test_grid_keeps_no_forest_at_the_driver(table, monkeypatch):
     model, results = classifiers.tune(df, COLUMNS, classifiers.FOREST, grid=grid, folds=2)
     assert results.count() == 4 and not collected
     assert model.predict(df).where("predicted = skill_tier").count() > 180 and len(collected) == 1
+
+
+@pytest.mark.parametrize("rows", [None, 60])
+def test_forest_in_tasks_votes_as_the_one_at_the_driver(spark, table, monkeypatch, tmp_path, rows):
+    """One block or several: the same trees, none of them collected, stored and read again."""
+    df, x, y = table
+    data, edges = packed(df, monkeypatch, rows)
+    whole = trees.fit_forest(data, edges, 3, 5, 6, 2)
+    monkeypatch.setattr(trees, "_collected", None)
+    held = trees.TaskForest.fit(data, edges, 3, 5, 6, 2)
+    wanted = whole.probabilities(trees.to_bins(x, edges))
+    held.save(str(tmp_path / "forest"))
+    for forest in (held, trees.TaskForest.load(spark, str(tmp_path / "forest"))):
+        scored = forest.transform(df.select("player", *COLUMNS), F.array(*COLUMNS), "p")
+        assert scored.columns == ["player", *COLUMNS, "p"]
+        got = {r["player"]: r["p"] for r in scored.collect()}
+        assert np.allclose([got[f"k{i}"] for i in range(len(y))], wanted)
+    shares = []
+    for t in whole.trees:
+        f, gain = np.asarray(t.feature), np.asarray(t.gain)
+        total = np.bincount(f[f >= 0], gain[f >= 0], len(COLUMNS))
+        shares.append(total / total.sum())
+    assert np.allclose(held.importances(), np.mean(shares, axis=0))
+
+
+def test_histograms_are_sums_over_rows():
+    rng = np.random.default_rng(1)
+    for per_node in (False, True):
+        growth = trees.Growth(4, 1, 6, 4, per_node)
+        x, node, stats = rng.integers(0, 32, (500, 6), dtype=np.uint8), rng.integers(0, 3, 500), rng.random((500, 3))
+        chosen = growth.all_candidates(7, [1, 2, 3])
+        hist = growth.histograms(x, stats, node, 3, chosen)
+        for n, c, b in itertools.product(range(3), range(4), range(32)):
+            assert np.allclose(hist[n, c, b], stats[(node == n) & (x[:, chosen[n, c]] == b)].sum(axis=0))
