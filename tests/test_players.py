@@ -6,6 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import Window, functions as F
 
+from plyscope.functions.clock import with_clock_features
 from plyscope.operators.players import (
     balanced_players,
     fold_sides,
@@ -14,6 +15,7 @@ from plyscope.operators.players import (
     side_averaged_profiles,
 )
 from plyscope.operators.ranking import bucketed_row_number, md5_row_number
+from plyscope.operators.ratios import classification_rows, color_feature_columns, with_ratios
 from plyscope.operators.split import class_weights, dealt, stratified_split
 from plyscope.sources import tpch_view
 
@@ -140,3 +142,19 @@ def test_class_weights(spark):
     df = spark.createDataFrame([("a",)] * 6 + [("b",)] * 2, "skill_tier string")
     got = {r["skill_tier"]: r["weight"] for r in class_weights(df).collect()}
     assert math.isclose(got["a"], 8 / 12) and math.isclose(got["b"], 2.0)
+
+
+def test_complete_rows_are_looked_at_after_they_are_made(spark):
+    """The features are worked out once; the filter reads them and holds none of their expressions."""
+    games = spark.sql("""SELECT id AS game_id, id % 3 AS n, 300 AS base_time, if(id = 5, NULL, 'Beginner') AS black_skill_tier,
+        transform(sequence(1, if(id = 3, 2, 16)), i -> if(id = 4 AND i = 2, double('NaN'), 300D - i * (id + 1))) AS clock_times_black,
+        transform(sequence(1, 16), i -> 300D - i) AS clock_times_white FROM range(9)""")
+    features = with_clock_features(games).withColumn("num_moves", F.when(F.col("game_id") != 6, 32))
+    rows, columns = classification_rows(features, "black")
+    filters = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "atleastnnonnulls" in line]
+    assert len(filters) == 1 and "lambda" not in filters[0]
+    wide = with_ratios(features, "black")
+    assert columns == color_feature_columns(wide, "black") and rows.columns == ["game_id", "label", *columns]
+    plain = wide.select("game_id", F.col("black_skill_tier").alias("label"), *columns).collect()
+    whole = [tuple(r) for r in plain if all(v is not None and v == v for v in r)]
+    assert sorted(tuple(r) for r in rows.collect()) == sorted(whole) and {r[0] for r in whole} == {0, 1, 2, 4, 7, 8}
