@@ -237,3 +237,25 @@ def test_importance_labels(spark):
     got = reports.top_importances(df, 1).first()
     assert (got["feature"], got["label"]) == ("num_moves", "Num Moves")
     assert reports.top_importances(df).collect()[1]["label"] == "Avg Time Opening"
+
+
+@pytest.mark.parametrize("group", [1, 40, 1000])
+def test_large_classes_read_tiles_instead_of_joining_pairs(spark, monkeypatch, group):
+    """No pair of tiles is made or moved; the neighbours are those of all pairs, copies and ties included."""
+    from plyscope.operators import oversample as o
+
+    rows, _ = class_rows(spark, {"a": 150, "b": 70}, copies=30)
+    rows = [(k, c, x, float(round(y)), z) for k, c, x, y, z in rows]
+    df = spark.createDataFrame(rows, "player string, label string, f0 double, f1 double, f2 double")
+    monkeypatch.setattr(o, "PAIRED_ROWS", 100)
+    monkeypatch.setattr(o, "GROUP_ROWS", group)
+    monkeypatch.setattr(o, "FIRST_CELLS", 2)
+    monkeypatch.setattr(o, "BATCH_TILES", 3)
+    monkeypatch.setattr(o, "tile_pairs", None)
+    some = df.where("crc32(player) % 3 > 0")
+    got = {r["key"]: r["neighbours"] for r in o.nearest_in_class(some, df, FEATURES, "label", "player", {"a": 150, "b": 70}, k=4, tile_rows=10).collect()}
+    assert len(got) == some.count()
+    for key, label, *point in rows:
+        if key in got:
+            others = sorted((float(np.sqrt(sum((p - q) ** 2 for p, q in zip(point, other)))), k) for k, c, *other in rows if c == label and k != key)
+            assert got[key] == [k for _, k in others[:4]]
