@@ -21,7 +21,7 @@ from plyscope.operators.oversample import oversample
 from plyscope.operators.scaling import fit_scaler
 from plyscope.operators.split import stratified_split, with_class_weight, with_label_code
 from plyscope.schema import SEED
-from plyscope.session import cut_lineage
+from plyscope.session import cut_lineage, drop_shuffles
 
 FOREST, BOOSTED, ENSEMBLE = "random_forest", "boosted_trees", "ensemble_soft"
 KINDS = (FOREST, BOOSTED, ENSEMBLE)
@@ -190,6 +190,7 @@ def fit_model(
     rows = with_label_code(with_class_weight(rows, label), labels, label, "_code")
     assembler = VectorAssembler(inputCols=scaled, outputCol="_features")
     rows = cut_lineage(rows.select(key, "_code", "weight", *scaled))
+    drop_shuffles(train.sparkSession)  # of the oversampling
     scaling = SQLTransformer(statement=scaler.sql("z_"))
 
     def with_outputs(estimator, prefix):
@@ -357,19 +358,26 @@ def tune(
     def boosted(data: DataFrame, edges: list, size: int, other) -> trees.Ensemble:
         return trees.fit_boosted(data, edges, len(labels), size, other[0], other[1], seed=seed)
 
-    def scores(job) -> list[tuple]:
-        i, other = job
+    def fold_of(i: int) -> tuple[DataFrame, DataFrame, list]:
         data, edges = binned(rows.where(F.col("_fold") != i))
-        held = trees.blocks(rows.where(F.col("_fold") == i), columns, "_code", None, key, edges, len(labels))
-        if kind == FOREST:
-            found = trees.forest_hits(data, held, edges, len(labels), other, sizes, depths, seed)
-        else:
-            found = trees.hits(held, boosted(data, edges, max(sizes), other), sizes, depths)
+        return data, trees.blocks(rows.where(F.col("_fold") == i), columns, "_code", None, key, edges, len(labels)), edges
+
+    def forests(i: int) -> list[tuple]:
+        data, held, edges = fold_of(i)
+        found = trees.forest_hits(data, held, edges, len(labels), rest, sizes, depths, seed)
+        return [(*k, right / n) for k, (right, n) in found.items()]
+
+    def boostings(job) -> list[tuple]:
+        i, other = job
+        data, held, edges = fold_of(i)
+        found = trees.hits(held, boosted(data, edges, max(sizes), other), sizes, depths)
         return [(size, depth, other, right / n) for (size, depth), (right, n) in found.items()]
 
+    # the forests of a fold share its blocks
+    scores, jobs = (forests, range(folds)) if kind == FOREST else (boostings, itertools.product(range(folds), rest))
     with ThreadPoolExecutor(parallelism) as pool:
         one = inheritable_thread_target(table.sparkSession)(scores)
-        done = [x for part in pool.map(one, itertools.product(range(folds), rest)) for x in part]
+        done = [x for part in pool.map(one, jobs) for x in part]
     means: dict[tuple, list[float]] = {}
     for size, depth, other, accuracy in done:
         means.setdefault((size, depth, other), []).append(accuracy)

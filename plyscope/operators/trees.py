@@ -5,7 +5,8 @@ a boosting round) is one aggregation: tasks route their rows through the trees a
 every open node, candidate feature and bin, the sums G of the targets, H of their weights and the row count; the parts of
 a group of nodes are summed where their best splits are chosen, so only splits reach the driver. A node with no more rows
 than a block has gets them sent to one task, which grows all that is below it. A table of at most one block skips the
-rounds between: its trees grow inside a task by the same steps.
+rounds between: its trees grow inside a task by the same steps. So do the trees of a forest over up to ``TABLE_BLOCKS``
+blocks, each in one task that reads them all.
 
 A split maximises ``sum(G^2) / (H + penalty)`` of its two sides. With class counts for G and row weights for H that is the
 Gini impurity; with gradients and Hessians it is the gain of second-order boosting. All random choices come from hashes
@@ -29,16 +30,24 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from plyscope.schema import SEED
-from plyscope.session import cut_lineage, scratch_path
+from plyscope.session import cut_lineage, drop_shuffles, scratch_path
 
 BINS = 32
 BLOCK_ROWS = 1 << 16
 #: Cells of histograms that a task holds at once.
 CELLS = 1 << 23
+#: Rows of nodes that are counted at once, and rows a node from which it has histograms.
+COUNTED_ROWS = 1 << 14
+DENSE_ROWS = 64
 #: Rounds of boosting after which the margins are written anew.
 KEEP_MARGINS = 4
 #: Rows whose votes meet in one group.
 VOTE_ROWS = 4096
+#: Blocks up to which a task that grows whole trees reads the whole table, and trees whose rows are sent at a time beyond that.
+TABLE_BLOCKS = 16
+SENT_TREES = 16
+#: Trees whose votes are summed up where they grow, over several blocks.
+VOTE_TREES = 20
 BLOCK = "rows int, x binary, y binary, w binary, h binary, margins binary"
 
 
@@ -79,7 +88,7 @@ def blocks(df: DataFrame, columns: list[str], code: str, weight: str | None, key
     numbers = F.array(*[F.col(c).cast("double") for c in columns])
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     rows = df.where(F.col(code).isNotNull()).select(numbers.alias("v"), F.col(code).cast("int").alias("y"), w.alias("w"), F.xxhash64(F.col(key).cast("string")).alias("h"))
-    rows = cut_lineage(rows)
+    # read twice; callers give rows that are stored
     parts = max(1, -(-rows.count() // BLOCK_ROWS))
 
     def pack(batches):
@@ -145,12 +154,13 @@ class Tree:
     sums: list[list[float]] = field(default_factory=lambda: [[]])
     open: list[int] = field(default_factory=lambda: [0])
 
-    def route(self, x: np.ndarray, depth: int | None = None) -> np.ndarray:
-        """Node of every row, not deeper than ``depth``."""
+    def route(self, x: np.ndarray, depth: int | None = None, at: np.ndarray | None = None, done: int = 0) -> np.ndarray:
+        """Node of every row, not deeper than ``depth``; rows may be ``at`` nodes of the depth ``done`` already."""
         feature, cut, left = (np.asarray(a) for a in (self.feature, self.cut, self.left))
-        at = np.zeros(len(x), dtype=np.int64)
+        at = np.zeros(len(x), dtype=np.int64) if at is None else at
         everyone = np.arange(len(x))
-        for _ in range(max(self.depth) if depth is None else min(depth, max(self.depth))):
+        deepest = int(np.max(self.depth))
+        for _ in range(done, deepest if depth is None else min(depth, deepest)):
             f = feature[at]
             right = x[everyone, np.maximum(f, 0)] > cut[at]
             at = np.where(f >= 0, left[at] + right, at)
@@ -170,7 +180,7 @@ class Tree:
 
     def graft(self, node: int, sub: Tree) -> None:
         """Put a tree that was grown from a node's rows in its place; the node keeps its sums."""
-        base = len(self.feature) - 1
+        base, sub = len(self.feature) - 1, Tree(**{k: v.tolist() if isinstance(v, np.ndarray) else v for k, v in vars(sub).items()})
         lefts = [left + base if f >= 0 else -1 for f, left in zip(sub.feature, sub.left, strict=True)]
         self.feature[node], self.cut[node], self.gain[node], self.left[node] = sub.feature[0], sub.cut[0], sub.gain[0], lefts[0]
         self.left += lefts[1:]
@@ -281,6 +291,129 @@ class Growth:
         low[at], high[at] = left[ok], right[ok]
         return feature, cut, most, low, high
 
+    def _gains(self, left: list[np.ndarray], total: list[np.ndarray]) -> np.ndarray:
+        """Gain of cuts, 0 where they may not be made, from the counts of each class; ``best`` for unit weights."""
+        sides = left, [n - low for low, n in zip(left, total, strict=True)], total
+        sizes = [sum(side[1:], side[0]) for side in sides]
+        squares = [sum((g * g for g in side[1:]), side[0] * side[0]) for side in sides]
+        scores = [np.divide(g, h, out=np.zeros(h.shape), where=h > 0) for g, h in zip(squares, sizes, strict=True)]
+        gain = scores[0] + scores[1] - scores[2]
+        fits = np.minimum(sizes[0], sizes[1]) >= max(self.least_rows - 1e-9, self.least_weight, 1e-12)
+        return np.where(fits & (gain > 1e-10 * (1.0 + np.abs(scores[2]))), gain, 0.0)
+
+    def _dense_splits(self, cells, y, draws, local, totals) -> tuple:
+        """Best split of each node of many rows: a histogram of class counts for one candidate after the other.
+
+        ``cells(c)`` gives the rows' bins of their node's candidate c, ``local`` their nodes.
+        """
+        m, t = totals.shape
+        feature, cut, most, low = np.zeros(m, np.int64), np.zeros(m, np.int64), np.zeros(m), np.zeros((m, t))
+        first, whole = (y * m + local) * self.bins, [n[:, None] for n in totals.T.astype(float)]
+        for c in range(self.drawn):
+            hist = np.bincount(first + cells(c), draws, t * m * self.bins).reshape(t, m, self.bins)
+            left = hist.cumsum(axis=2)[:, :, :-1]
+            gain = self._gains(list(left), whole)
+            at = gain.argmax(axis=1)
+            top = gain[np.arange(m), at]
+            more = np.flatnonzero(top > most)
+            feature[more], cut[more], most[more], low[more] = c, at[more], top[more], left[:, more, at[more]].T
+        return feature, cut, most, low
+
+    def _sparse_splits(self, cells, y, draws, local, totals) -> tuple:
+        """``_dense_splits`` for nodes of few rows: only cuts behind a bin that has rows, in the order of one sort."""
+        (m, t), k = totals.shape, self.drawn
+        packed = np.stack([(((local * k + c) * self.bins + cells(c)) * t + y << 5) | draws for c in range(k)])
+        packed = np.sort(packed.astype(np.uint32).ravel())
+        draws, packed = (packed & 31).astype(np.int64), packed >> 5
+        cell, y = packed // t, packed % t
+        group = cell // self.bins
+        ends = np.flatnonzero((cell[1:] != cell[:-1]) & (group[1:] == group[:-1]))
+        node, c = np.divmod(group[ends].astype(np.int64), k)
+        earlier = totals.cumsum(axis=0) - totals
+        left = [np.cumsum(np.where(y == j, draws, 0))[ends] - (k * earlier[node, j] + c * totals[node, j]) for j in range(t)]
+        gain = self._gains([n.astype(float) for n in left], [totals[node, j].astype(float) for j in range(t)])
+        ok = np.flatnonzero(gain > 0)
+        feature, cut, most, low = np.zeros(m, np.int64), np.zeros(m, np.int64), np.zeros(m), np.zeros((m, t))
+        if len(ok):
+            of = node[ok]
+            first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+            top = np.repeat(np.maximum.reduceat(gain[ok], first), np.diff(np.append(first, len(ok))))
+            ok = ok[gain[ok] == top]
+            ok = ok[np.append(True, node[ok][1:] != node[ok][:-1])]
+            at = node[ok]
+            feature[at], cut[at], most[at], low[at] = c[ok], cell[ends[ok]] % self.bins, gain[ok], np.stack([n[ok] for n in left], axis=1)
+        return feature, cut, most, low
+
+    def grow_counts(self, number: int, x: np.ndarray, y: np.ndarray, draws: np.ndarray, path: int = 1, depth: int = 0) -> Tree:
+        """``grow`` of a tree on class counts where all weights are one: the same tree from ``draws`` of each row.
+
+        Rows are kept in the order of their nodes and leave with them, so that a node's rows lie together.
+        """
+        t, bins = self.targets, self.bins
+        used = draws > 0
+        x, y, draws = x[used], y[used].astype(np.int64), draws[used].astype(np.int64)
+        totals = np.bincount(y, draws, t)[None, :]
+        paths, at, size = np.array([path], dtype=np.int64), np.zeros(len(x), np.int64), 1
+        made: dict[str, list] = {"feature": [np.array([-1])], "cut": [np.array([0])], "left": [np.array([-1])], "gain": [np.array([0.0])], "depth": [np.array([depth])], "path": [paths], "counts": [totals]}
+        for level in range(self.depth):
+            going = totals.sum(axis=1) >= 2 * self.least_rows
+            if not going.any():
+                break
+            place = np.cumsum(going) - 1
+            keep = np.flatnonzero(going[at])
+            x, y, draws, at = x[keep], y[keep], draws[keep], place[at[keep]]
+            nodes, totals = np.flatnonzero(going), totals[going]
+            ends = np.searchsorted(at, np.arange(len(nodes) + 1))
+            chosen = self.all_candidates(number, paths[going])
+            found = []
+            # packed into 32 bits, and histograms of a bounded size
+            step = max(1, min((1 << 32) // (self.drawn * bins * t * 32) - 1, CELLS // (2 * bins * t)))
+            begin = 0
+            while begin < len(nodes):
+                # as many rows as a few at once, but one node at least
+                end = max(begin + 1, min(begin + step, int(np.searchsorted(ends, ends[begin] + COUNTED_ROWS, "right")) - 1))
+                end = min(end, len(nodes))
+                rows = slice(ends[begin], ends[end])
+                local = at[rows] - begin
+                flat, row, drawn = x[rows].ravel(), np.arange(ends[end] - ends[begin]) * x.shape[1], chosen[begin:end].T.copy()
+                cells = lambda c, flat=flat, row=row, drawn=drawn, local=local: flat[row + drawn[c][local]].astype(np.int64)
+                splits = self._dense_splits if len(row) > DENSE_ROWS * (end - begin) else self._sparse_splits
+                found.append(splits(cells, y[rows], draws[rows], local, totals[begin:end]))
+                begin = end
+            which, cut, gain, low = (np.concatenate(parts) for parts in zip(*found, strict=True))
+            feature = chosen[np.arange(len(nodes)), which]
+            split = gain > 0
+            rank, n = np.cumsum(split) - 1, int(split.sum())
+            for name, v in (("feature", np.where(split, feature, -1)), ("cut", np.where(split, cut, 0)), ("left", np.where(split, size + 2 * rank, -1)), ("gain", gain)):
+                made[name][-1][nodes] = v
+            if not n:
+                break
+            sides = np.stack([low[split], totals[split] - low[split]], axis=1).reshape(2 * n, t)
+            paths = (2 * paths[going][split][:, None] + np.arange(2)).ravel()
+            keep = np.flatnonzero(split[at])
+            x, y, draws, at = x[keep], y[keep], draws[keep], at[keep]
+            right = x.ravel()[np.arange(len(x)) * x.shape[1] + feature[at]] > cut[at]
+            at = 2 * rank[at] + right
+            order = np.argsort(at, kind="stable")
+            x, y, draws, at, totals = x[order], y[order], draws[order], at[order], sides
+            size += 2 * n
+            fresh = {"feature": np.full(2 * n, -1), "cut": np.zeros(2 * n, np.int64), "left": np.full(2 * n, -1), "gain": np.zeros(2 * n), "depth": np.full(2 * n, depth + level + 1), "path": paths, "counts": sides}
+            for name, v in fresh.items():
+                made[name].append(v)
+        columns = {name: np.concatenate(parts) for name, parts in made.items()}
+        counts = columns.pop("counts")
+        n = counts.sum(axis=1, keepdims=True)
+        return Tree(number, open=[], sums=np.concatenate([counts, n, n], axis=1).astype(float), **columns)
+
+    def grow_rows(self, start: Tree, x: np.ndarray, stats: np.ndarray) -> Tree:
+        """``grow``, or the same by ``grow_counts`` where every row counts for one class."""
+        t = self.targets
+        plain = self.penalty == 0 and start.path[0] >> max(0, 62 - self.depth) == 0
+        if plain and stats.dtype == np.uint8 and (stats[:, -1] < 32).all() and (stats[:, :t].max(axis=1, initial=0) == stats[:, t]).all():
+            if (stats[:, t] == stats[:, -1]).all() and (np.count_nonzero(stats[:, :t], axis=1) <= 1).all():
+                return self.grow_counts(start.number, x, stats[:, :t].argmax(axis=1), stats[:, -1], start.path[0], start.depth[0])
+        return self.grow(start, x, stats.astype(float))
+
     def may_split(self, sums: list[float]) -> bool:
         return sums[self.targets + 1] >= 2 * self.least_rows
 
@@ -375,7 +508,10 @@ def _unpickled(data: bytes):
 
 
 def _below(data: DataFrame, growth: Growth, grown, few: list[tuple[int, int]], stats_of) -> DataFrame:
-    """i, n, sub: what grows below some nodes, from their rows, which are sent to a group for each node."""
+    """i, n, sub: what grows below some nodes, from their rows, which are sent to a group for each node.
+
+    Sums that are whole numbers travel as bytes.
+    """
     import pickle
 
     by_tree: dict[int, list[int]] = {}
@@ -397,17 +533,21 @@ def _below(data: DataFrame, growth: Growth, grown, few: list[tuple[int, int]], s
                     for k, n in enumerate(nodes):
                         at = order[ends[k] : ends[k + 1]]
                         if len(at):
-                            cells = [pa.array([v]) for v in (i, n)] + [pa.array([v[at].tobytes()], pa.binary()) for v in (rows.x, np.ascontiguousarray(stats, "<f8"))]
+                            some = stats[at]
+                            small = some.astype(np.uint8) if ((some >= 0) & (some < 256)).all() else some
+                            some = small if (small == some).all() else some
+                            cells = [pa.array([v]) for v in (i, n)] + [pa.array([np.ascontiguousarray(v).tobytes()], pa.binary()) for v in (rows.x[at], some)]
                             yield pa.RecordBatch.from_arrays(cells, names=["i", "n", "x", "stats"])
 
     def grow(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         i, n = (k.as_py() for k in key)
         given = [r for batch in batches for r in batch.to_pylist()]
         x = np.frombuffer(b"".join(r["x"] for r in given), np.uint8).reshape(-1, growth.features)
-        stats = np.frombuffer(b"".join(r["stats"] for r in given), "<f8").reshape(-1, columns)
+        stats = [np.frombuffer(r["stats"], np.uint8 if len(r["stats"]) * growth.features == columns * len(r["x"]) else "<f8").reshape(-1, columns) for r in given]
         tree = grown.value[i]
         start = Tree(tree.number, depth=[tree.depth[n]], path=[tree.path[n]])
-        sub = replace(growth, depth=growth.depth - tree.depth[n]).grow(start, x, stats)
+        sub = replace(growth, depth=growth.depth - tree.depth[n]).grow_rows(start, x, np.concatenate(stats))
+        vars(sub).update({k: np.asarray(v) for k, v in vars(sub).items() if k != "number"})
         yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([n]), pa.array([pickle.dumps(sub)], pa.binary())], names=["i", "n", "sub"])
 
     sent = data.mapInArrow(send, "i long, n long, x binary, stats binary")
@@ -474,7 +614,9 @@ def _level(data: DataFrame, growth: Growth, grown, some, stats_of, groups: int)
         yield pa.RecordBatch.from_arrays(cells, names=[*out, "low", "high"])
 
     schema = "at long, feature long, cut long, gain double, low array<double>, high array<double>"
-    rows = data.mapInArrow(count, "first long, data binary").groupBy("first").applyInArrow(choose, schema).collect()
+    # every task sends the histograms of all nodes, so that there are as many as keep the cores busy
+    fewer = data.coalesce(2 * data.sparkSession.sparkContext.defaultParallelism)
+    rows = fewer.mapInArrow(count, "first long, data binary").groupBy("first").applyInArrow(choose, schema).collect()
     return {r["at"]: (r["feature"], r["cut"], r["gain"], r["low"], r["high"]) for r in rows}
 
 
@@ -510,12 +652,16 @@ class Ensemble:
         """Sum of the trees' class shares."""
         total = np.zeros((len(x), self.classes))
         for t in self.trees[:trees]:
-            s = np.asarray(t.sums)[:, : self.classes]
-            n = s.sum(axis=1, keepdims=True)
-            # a bootstrap sample may leave a tree without rows
-            total += np.divide(s, n, out=np.full(s.shape, 1.0 / self.classes), where=n > 0)[t.route(x, depth)]
+            total += self.shares(t)[t.route(x, depth)]
         return total
 
+    def shares(self, t: Tree) -> np.ndarray:
+        """Class shares of a tree's nodes."""
+        s = np.asarray(t.sums)[:, : self.classes]
+        n = s.sum(axis=1, keepdims=True)
+        # a bootstrap sample may leave a tree without rows
+        return np.divide(s, n, out=np.full(s.shape, 1.0 / self.classes), where=n > 0)
+
     def probabilities(self, x: np.ndarray, size: int | None = None, depth: int | None = None) -> np.ndarray:
         """Class probabilities of binned rows, by the first ``size`` trees or rounds."""
         if self.kind == "boosted":
@@ -597,29 +743,62 @@ def _forest(edges, classes: int, depth: int, least_rows: int, seed: int):
     return growth, stats_of
 
 
-def _dealt(data: DataFrame, parts: int, name: str) -> DataFrame:
-    """A table of one block, once for each part."""
-    return data.select(F.struct("*").alias(name), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+def _whole_tree(growth: Growth, rows: Rows, number: int, stats_of) -> Tree:
+    """A tree of a forest from all rows."""
+    plain = bool((rows.w == 1).all()) and len(rows.y) > 0 and 0 <= rows.y.min() <= rows.y.max() < growth.targets
+    if plain and growth.depth <= 60:  # paths are 64-bit numbers there
+        return growth.grow_counts(number, rows.x, rows.y, _poisson(rows.h, growth.seed, number))
+    return growth.grow(Tree(number), rows.x, stats_of(rows, number))
+
+
+def _kept(data: DataFrame) -> str:
+    """Where the blocks lie for tasks that read all of them, in the shared folder."""
+    path = scratch_path(data.sparkSession, "table")
+    data.select("rows", "x", "y", "w", "h").write.parquet(path)
+    return path
+
+
+def _read_rows(path: str) -> Rows:
+    """All rows of a few blocks that were kept, as one."""
+    found = [Rows.of({**r, "margins": b""}) for r in _read_parquet(path, ["rows", "x", "y", "w", "h"])]
+    if not found:
+        return Rows(np.zeros((0, 1), np.uint8), np.zeros(0, "<i4"), np.zeros(0), np.zeros(0, "<i8"), np.zeros((0, 0)))
+    return Rows(*[np.concatenate([getattr(r, name) for r in found]) for name in ("x", "y", "w", "h", "margins")])
+
+
+def _read_parquet(path: str, columns: list[str]) -> Iterator[dict]:
+    from pyarrow import fs, parquet
+
+    store, place = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
+    for info in sorted(store.get_file_info(fs.FileSelector(place)), key=lambda i: i.path):
+        if info.path.endswith(".parquet"):
+            yield from parquet.ParquetFile(store.open_input_file(info.path)).read(columns).to_pylist()
+
+
+def _tasks(spark: SparkSession, parts: int) -> DataFrame:
+    """``part``: a task for each number."""
+    return spark.range(0, parts, 1, parts).select(F.col("id").alias("part"))
 
 
 def _grown(data: DataFrame, growth: Growth, stats_of, trees: int) -> DataFrame:
-    """The trees (``NODES``) over one block, dealt to tasks, each of which reads the block."""
-    parts = min(trees, 4 * data.sparkSession.sparkContext.defaultParallelism)
+    """The trees (``NODES``) over a table of up to ``TABLE_BLOCKS`` blocks, dealt to tasks, each of which reads the table."""
+    spark, path = data.sparkSession, _kept(data)
+    parts = min(trees, 4 * spark.sparkContext.defaultParallelism)
 
     def some(batches):
         for batch in batches:
-            for r in batch.to_pylist():
-                rows = Rows.of(r["block"])
-                for t in range(r["part"], trees, parts):
-                    yield _nodes(growth.grow(Tree(t), rows.x, stats_of(rows, t)))
+            for part in batch.column("part").to_pylist():
+                rows = _read_rows(path)
+                for t in range(part, trees, parts):
+                    yield _nodes(_whole_tree(growth, rows, t, stats_of))
 
-    return _dealt(data, parts, "block").repartition(parts, "part").mapInArrow(some, NODES)
+    return _tasks(spark, parts).mapInArrow(some, NODES)
 
 
 def fit_forest(data: DataFrame, edges, classes: int, trees: int, depth: int, least_rows: int, seed: int = SEED) -> Ensemble:
     """Bagged trees."""
     growth, stats_of = _forest(edges, classes, depth, least_rows, seed)
-    if data.count() > 1:
+    if data.count() > TABLE_BLOCKS:
         grown = [Tree(t) for t in range(trees)]
         grow_all(data, growth, grown, stats_of)
         return Ensemble("forest", classes, edges, grown)
@@ -641,11 +820,9 @@ class StoredForest:
 
 
 def stored_forest(data: DataFrame, edges, classes: int, trees: int, depth: int, least_rows: int, seed: int = SEED) -> Ensemble | StoredForest:
-    """``fit_forest`` of a table of one block without its trees at the driver."""
-    if data.count() > 1:
-        return fit_forest(data, edges, classes, trees, depth, least_rows, seed)
+    """``fit_forest`` without its trees at the driver."""
     path = scratch_path(data.sparkSession, "forest")
-    _grown(data, *_forest(edges, classes, depth, least_rows, seed), trees).write.parquet(path)
+    _in_tasks(data, *_forest(edges, classes, depth, least_rows, seed), trees).write.option("compression", "zstd").parquet(path)
     return StoredForest(classes, edges, data.sparkSession.read.schema(NODES).parquet(path))
 
 
@@ -660,17 +837,17 @@ class TaskForest:
 
     @classmethod
     def fit(cls, data: DataFrame, edges, classes: int, trees: int, depth: int, least_rows: int, seed: int = SEED) -> TaskForest:
-        """The trees of ``fit_forest``; over several blocks each is put together from its parts in a task."""
+        """The trees of ``fit_forest``; over many blocks each is put together from its parts in a task."""
         growth, stats_of = _forest(edges, classes, depth, least_rows, seed)
         spark, path = data.sparkSession, scratch_path(data.sparkSession, "forest")
-        whole = _put_together(data, growth, stats_of, trees) if data.count() > 1 else _grown(data, growth, stats_of, trees)
+        whole = _in_tasks(data, growth, stats_of, trees)
 
         def lean(batches):
             for batch in batches:
                 for r in batch.to_pylist():
                     yield _lean(r["tree"], _unpickled(r["columns"]), classes)
 
-        whole.mapInArrow(lean, NODES).write.partitionBy("tree").parquet(path)
+        whole.mapInArrow(lean, NODES).write.partitionBy("tree").option("compression", "zstd").parquet(path)
         return cls(spark, path, classes, edges, trees)
 
     def transform(self, df: DataFrame, features: Column, name: str) -> DataFrame:
@@ -731,15 +908,27 @@ class TaskForest:
         return cls(spark, f"{path}/trees", **json.loads(spark.read.text(f"{path}/meta").first()["value"]))
 
 
+def _in_tasks(data: DataFrame, growth: Growth, stats_of, trees: int) -> DataFrame:
+    """The trees (``NODES``), none of them at the driver."""
+    return (_put_together if data.count() > TABLE_BLOCKS else _grown)(data, growth, stats_of, trees)
+
+
 def _put_together(data: DataFrame, growth: Growth, stats_of, trees: int) -> DataFrame:
-    """The trees (``NODES``) over several blocks: upper nodes from histograms, the rest where rows meet, a group for each tree."""
+    """The trees (``NODES``) over many blocks: upper nodes from histograms, the rest where rows meet, a group for each tree.
+
+    A tree sends nearly all rows, so only those of ``SENT_TREES`` trees are sent at a time and dropped before the next.
+    """
     spark, upper = data.sparkSession, [Tree(t) for t in range(trees)]
     few = _upper(data, growth, upper, stats_of)
     grown = spark.sparkContext.broadcast([Tree(**vars(t)) for t in upper])
     subs = spark.createDataFrame([(i, -1, None) for i in range(trees)], "i long, n long, sub binary")
     if few:
         path = scratch_path(spark, "forest-parts")
-        _below(data, growth, grown, few, stats_of).write.parquet(path)
+        for first in range(0, trees, SENT_TREES):
+            some = [(i, n) for i, n in few if first <= i < first + SENT_TREES]
+            if some:
+                _below(data, growth, grown, some, stats_of).write.mode("append").option("compression", "zstd").parquet(path)
+                drop_shuffles(spark)
         subs = subs.union(spark.read.schema(subs.schema).parquet(path))
 
     def join(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -781,55 +970,63 @@ def _routed(tree: dict, x: np.ndarray) -> np.ndarray:
 
 def _read_trees(path: str, trees: int) -> Iterator[dict]:
     """The stored trees in order, one at a time."""
-    from pyarrow import fs, parquet
-
-    store, place = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
     for number in range(trees):
-        for info in store.get_file_info(fs.FileSelector(f"{place}/tree={number}")):
-            if info.path.endswith(".parquet"):
-                for r in parquet.ParquetFile(store.open_input_file(info.path)).read(["columns"]).to_pylist():
-                    yield _unpickled(r["columns"])
+        for r in _read_parquet(f"{path}/tree={number}", ["columns"]):
+            yield _unpickled(r["columns"])
 
 
-def forest_hits(data: DataFrame, held: DataFrame, edges, classes: int, least_rows: int, sizes: list[int], depths: list[int], seed: int = SEED):
-    """``hits`` of a forest on held rows; over one block its trees vote in the tasks that grow them and go nowhere else."""
-    trees = max(sizes)
-    if data.count() != 1 or held.count() > 1:
-        return hits(held, fit_forest(data, edges, classes, trees, max(depths), least_rows, seed), sizes, depths)
-    growth, stats_of = _forest(edges, classes, max(depths), least_rows, seed)
-    parts = min(trees, 4 * data.sparkSession.sparkContext.defaultParallelism)
+def forest_hits(data: DataFrame, held: DataFrame, edges, classes: int, leasts: list[int], sizes: list[int], depths: list[int], seed: int = SEED):
+    """(right, all) held rows by (size, depth, least rows of a leaf), of forests that vote in the tasks that grow them and go nowhere else.
+
+    Over one block a tree votes by itself; over several the votes of a few trees are summed up before they meet.
+    """
+    trees, blocks_ = max(sizes), data.count()
+    if not 0 < blocks_ <= TABLE_BLOCKS or held.count() > TABLE_BLOCKS:
+        found = {least: hits(held, fit_forest(data, edges, classes, trees, max(depths), least, seed), sizes, depths) for least in leasts}
+        return {(*k, least): n for least, some in found.items() for k, n in some.items()}
+    growing = [_forest(edges, classes, max(depths), least, seed) for least in leasts]
+    spark, path, asked_path, model = data.sparkSession, _kept(data), _kept(held), Ensemble("forest", classes, edges, [])
+    # runs of trees, none of which goes over a size that is asked for
+    ends, step = sorted({0, *sizes}), 1 if blocks_ == 1 else VOTE_TREES
+    runs = [(t, min(t + step, end)) for begin, end in zip(ends, ends[1:]) for t in range(begin, end, step)]
+    jobs = [(i, run) for run in runs for i in range(len(leasts))]
+    parts = min(len(jobs), 4 * spark.sparkContext.defaultParallelism) if step == 1 else len(jobs)
 
     def vote(batches):
         for batch in batches:
-            for r in batch.to_pylist():
-                rows, asked = Rows.of(r["block"]), Rows.of(r["held"])
-                for t in range(r["part"], trees, parts):
-                    model = Ensemble("forest", classes, edges, [growth.grow(Tree(t), rows.x, stats_of(rows, t))])
-                    for i, depth in enumerate(depths):
-                        votes = model.votes(asked.x, None, depth)
+            for part in batch.column("part").to_pylist():
+                rows, asked = _read_rows(path), _read_rows(asked_path)
+                for i, (first, end) in jobs[part::parts]:
+                    total = [np.zeros((len(asked.y), classes)) for _ in depths]
+                    for t in range(first, end):
+                        tree, node, done = _whole_tree(growing[i][0], rows, t, growing[i][1]), None, 0
+                        shares = model.shares(tree)
+                        for j in np.argsort(depths).tolist():
+                            node, done = tree.route(asked.x, depths[j], node, done), depths[j]
+                            total[j] += shares[node]
+                    for j, votes in enumerate(total):
                         for at in range(0, len(votes), VOTE_ROWS):
-                            cells = [pa.array([v]) for v in (t, i, at)]
+                            cells = [pa.array([v]) for v in (first, i, j, at)]
                             cells += [pa.array([v[at : at + VOTE_ROWS].tobytes()], pa.binary()) for v in (asked.y, votes)]
-                            yield pa.RecordBatch.from_arrays(cells, names=["t", "depth", "at", "y", "votes"])
+                            yield pa.RecordBatch.from_arrays(cells, names=["t", "least", "depth", "at", "y", "votes"])
 
     def count(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = sorted(((r["t"], r["y"], r["votes"]) for batch in batches for r in batch.to_pylist()), key=lambda r: r[0])
         y = np.frombuffer(found[0][1], "<i4")
-        total, at = np.zeros((len(y), classes)), 0
+        total, begin = np.zeros((len(y), classes)), 0
         for size in sorted(sizes):
             # summed as a prefix after the other
             part = np.zeros_like(total)
-            for _, _, votes in found[at:size]:
+            for _, _, votes in (r for r in found if begin <= r[0] < size):
                 part += np.frombuffer(votes, "<f8").reshape(part.shape)
-            total, at = total + part, size
+            total, begin = total + part, size
             right = int((total.argmax(axis=1) == y).sum())
-            yield pa.RecordBatch.from_pydict({"size": [size], "depth": [key[0].as_py()], "right": [right], "n": [len(y)]})
+            yield pa.RecordBatch.from_pydict({"size": [size], "least": [key[0].as_py()], "depth": [key[1].as_py()], "right": [right], "n": [len(y)]})
 
-    both = _dealt(data, parts, "block").join(_dealt(held, parts, "held"), "part").repartition(parts, "part")
-    votes = both.mapInArrow(vote, "t long, depth long, at long, y binary, votes binary")
-    counted = votes.groupBy("depth", "at").applyInArrow(count, "size long, depth long, right long, n long")
-    found = counted.groupBy("size", "depth").agg(F.sum("right"), F.sum("n")).collect()
-    return {(r[0], depths[r[1]]): (r[2], r[3]) for r in found}
+    votes = _tasks(spark, parts).mapInArrow(vote, "t long, least long, depth long, at long, y binary, votes binary")
+    counted = votes.groupBy("least", "depth", "at").applyInArrow(count, "size long, least long, depth long, right long, n long")
+    summed = counted.groupBy("size", "depth", "least").agg(F.sum("right"), F.sum("n")).collect()
+    return {(r[0], depths[r[1]], leasts[r[2]]): (r[3], r[4]) for r in summed}
 
 
 NODES = "tree int, columns binary"

@@ -180,3 +180,54 @@ def test_histograms_are_sums_over_rows():
         hist = growth.histograms(x, stats, node, 3, chosen)
         for n, c, b in itertools.product(range(3), range(4), range(32)):
             assert np.allclose(hist[n, c, b], stats[(node == n) & (x[:, chosen[n, c]] == b)].sum(axis=0))
+
+
+def test_class_counts_grow_the_same_trees():
+    """Unit weights: one sort or count of whole numbers a level instead of sums of columns; sums, gains and ties alike."""
+    rng = np.random.default_rng(11)
+    x = rng.integers(0, 32, (900, 7)).astype(np.uint8)
+    x[:, 3] = x[:, 2]  # ties between candidates
+    y, draws = (x[:, 0] // 11 + rng.integers(0, 2, 900)) % 3, rng.poisson(1.0, 900)
+    stats = np.column_stack([*[draws * (y == c) for c in range(3)], draws, draws])
+    names = ("feature", "cut", "left", "gain", "depth", "path", "sums")
+    for least, depth, drawn in ((1, 30, 3), (5, 4, 7), (2, 12, 2)):
+        growth = trees.Growth(depth, 3, 7, drawn, True, least)
+        for dense in (0, 8, 10_000):
+            with pytest.MonkeyPatch.context() as patch:
+                patch.setattr(trees, "DENSE_ROWS", dense)
+                patch.setattr(trees, "COUNTED_ROWS", 100)
+                for path in (1, 5):
+                    wanted = growth.grow(trees.Tree(9, path=[path], depth=[2]), x, stats.astype(float))
+                    for got in (growth.grow_counts(9, x, y, draws, path, 2), growth.grow_rows(trees.Tree(9, path=[path], depth=[2]), x, stats.astype(np.uint8))):
+                        assert all(np.array_equal(getattr(wanted, n), getattr(got, n)) for n in names) and max(got.depth) > 3
+    assert growth.grow_counts(1, x[:0], y[:0], draws[:0]).sums.tolist() == [[0.0] * 5]
+
+
+def test_grid_over_several_blocks_needs_no_forest_at_the_driver(table, monkeypatch):
+    """A table of several blocks is scored in the tasks that grow its trees, as one of a single block."""
+    df, _, _ = table
+    grid = {"numTrees": [3, 25], "maxDepth": [2, 6], "minInstancesPerNode": [1, 3]}
+    _, wanted = classifiers.tune(df, COLUMNS, classifiers.FOREST, grid=grid, folds=2)
+    monkeypatch.setattr(trees, "BLOCK_ROWS", 60)
+    for name in ("fit_forest", "grow_all", "_upper", "_collected"):
+        monkeypatch.setattr(trees, name, None)
+    _, results = classifiers.tune(df, COLUMNS, classifiers.FOREST, grid=grid, folds=2)
+    got, wanted = ({r["params"]: r["accuracy"] for r in rows.collect()} for rows in (results, wanted))
+    assert len(got) == 8 and got == pytest.approx(wanted)
+
+
+def test_forest_over_many_blocks_sends_some_trees_at_a_time(table, monkeypatch):
+    """More blocks than a task reads: the same trees, whose rows are sent for a few of them at a time."""
+    df, x, y = table
+    data, edges = packed(df, monkeypatch, 60)
+    grown = {t.number: t for t in trees.fit_forest(data, edges, 3, 5, 6, 2).trees}
+    monkeypatch.setattr(trees, "TABLE_BLOCKS", 1)
+    monkeypatch.setattr(trees, "SENT_TREES", 2)
+    sent, below = [], trees._below
+    monkeypatch.setattr(trees, "_below", lambda data, growth, grown, few, stats_of: sent.append({i for i, _ in few}) or below(data, growth, grown, few, stats_of))
+    stored = trees.stored_forest(data, edges, 3, 5, 6, 2)
+    assert sent == [{0, 1}, {2, 3}, {4}]
+    at_driver = trees.fit_forest(data, edges, 3, 5, 6, 2)
+    for forest in (stored, at_driver):
+        for t in forest.trees:
+            assert [t.feature, t.cut, t.left, t.sums] == [grown[t.number].feature, grown[t.number].cut, grown[t.number].left, grown[t.number].sums]
